@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from tickframe.llm import html_text, mixing, secrets, sharding, token_counts
+from tickframe.llm import html_text, mixing, quality, secrets, sharding, token_counts
 from tickframe.llm.common import table
 
 
 def queries() -> dict:
     return {
         "op1_token_counts": lambda s, d: token_counts.count_tokens(table(s, d, "documents")),
+        "op2_quality_rules": lambda s, d: quality.quality_report(table(s, d, "documents")),
         "op4_html_extraction": lambda s, d: html_text.extract(table(s, d, "pages")),
         "op5_secret_scans": lambda s, d: secrets.secret_report(table(s, d, "documents")),
         "op6_sharding": lambda s, d: sharding.shard(table(s, d, "documents")),
