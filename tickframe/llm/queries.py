@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickframe.llm import html_text, mixing, quality, secrets, sharding, token_counts
+from tickframe.llm import html_text, jaccard_join, mixing, quality, secrets, sharding, suffix_dedup, token_counts
 from tickframe.llm.common import table
 
 
@@ -14,6 +14,8 @@ def queries() -> dict:
         "op5_secret_scans": lambda s, d: secrets.secret_report(table(s, d, "documents")),
         "op6_sharding": lambda s, d: sharding.shard(table(s, d, "documents")),
         "op8_source_mixing": lambda s, d: mixing.mix_report(table(s, d, "documents")),
+        "op9_suffix_array_dedup": lambda s, d: suffix_dedup.dedup_report(table(s, d, "documents")),
+        "op10_jaccard_join": lambda s, d: jaccard_join.link_report(table(s, d, "documents")),
     }
 
 
