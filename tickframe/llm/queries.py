@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickframe.llm import html_text, jaccard_join, mixing, quality, secrets, sharding, suffix_dedup, token_counts
+from tickframe.llm import html_text, jaccard_join, mixing, quality, secrets, sharding, suffix_dedup, token_counts, vector_search
 from tickframe.llm.common import table
 
 
@@ -10,6 +10,7 @@ def queries() -> dict:
     return {
         "op1_token_counts": lambda s, d: token_counts.count_tokens(table(s, d, "documents")),
         "op2_quality_rules": lambda s, d: quality.quality_report(table(s, d, "documents")),
+        "op3_vector_search": lambda s, d: vector_search.nearest(table(s, d, "embeddings")),
         "op4_html_extraction": lambda s, d: html_text.extract(table(s, d, "pages")),
         "op5_secret_scans": lambda s, d: secrets.secret_report(table(s, d, "documents")),
         "op6_sharding": lambda s, d: sharding.shard(table(s, d, "documents")),
