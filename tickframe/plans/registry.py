@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from tickframe.plans import ledger  # noqa: F401  (registers its queries)
+from tickframe.plans.timeseries import QUERIES, SQL
+
 
 def queries() -> dict:
-    return {}
+    return dict(QUERIES)
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return dict(SQL)
