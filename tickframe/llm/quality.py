@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickframe.llm.common import drop_written, release, written
+from tickframe.llm.common import release, written
 
 ORDER = 4
 BEGIN, END = 2, 3
@@ -153,8 +153,8 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
     levels = {ORDER: counts}
     for n in range(ORDER - 1, 0, -1):
         above = levels[n + 1]
-        levels[n] = above.groupBy("lang", F.col("key").bitwiseAND(F.lit(MASKS[n])).alias("key")).agg(F.count("*").alias("a"))
-    out, lower = None, None
+        levels[n] = written(above.groupBy("lang", F.col("key").bitwiseAND(F.lit(MASKS[n])).alias("key")).agg(F.count("*").alias("a")))
+    out, lower = None, None  # every order is stored before the next uses it: plans stay small
     for n in range(1, ORDER + 1):
         grams = levels[n].withColumn("ctx", F.shiftrightunsigned("key", 16))
         t = [F.sum(F.when(F.col("a") == i, 1).otherwise(0)).cast("double").alias(f"t{i}") for i in range(1, 5)]
@@ -165,10 +165,10 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
             return F.least(F.greatest(raw, F.lit(0.05)), F.lit(0.95 * i)).alias(f"d{i}")
 
         disc = disc.select(F.col("lang").alias("dl"), d(1), d(2), d(3))
-        grams = grams.join(F.broadcast(disc) if n == 1 else disc, F.col("lang").eqNullSafe(F.col("dl")), "left").drop("dl")
+        grams = grams.join(disc, F.col("lang").eqNullSafe(F.col("dl")), "left").drop("dl")
         cut = F.when(F.col("a") == 1, F.col("d1")).when(F.col("a") == 2, F.col("d2")).otherwise(F.col("d3"))
         grams = grams.withColumn("cut", cut)
-        ctx = grams.groupBy(F.col("lang").alias("cl"), F.col("ctx").alias("cc")).agg(F.sum("a").alias("tot"), (F.sum("cut") / F.sum("a")).alias("gamma"), F.count("*").alias("kinds"))
+        ctx = written(grams.groupBy(F.col("lang").alias("cl"), F.col("ctx").alias("cc")).agg(F.sum("a").alias("tot"), (F.sum("cut") / F.sum("a")).alias("gamma"), F.count("*").alias("kinds")))
         grams = grams.join(ctx, F.col("lang").eqNullSafe(F.col("cl")) & (F.col("ctx") == F.col("cc")))
         own = (F.col("a") - F.col("cut")) / F.col("tot")
         if n == 1:
@@ -180,7 +180,7 @@ def kneser_ney(counts: DataFrame) -> DataFrame:
             grams = grams.join(low, F.col("lang").eqNullSafe(F.col("ll")) & (suffix == F.col("lk")))
             p = own + F.col("gamma") * F.col("lp")
             bows = ctx.select(F.col("cl").alias("lang"), F.lit(n).alias("ord"), F.col("cc").alias("key"), F.lit(None).cast("double").alias("logp"), F.log("gamma").alias("bow"))
-        lower = grams.select("lang", "key", p.alias("p"))
+        lower = written(grams.select("lang", "key", p.alias("p")))
         rows = lower.select("lang", F.lit(n).alias("ord"), "key", F.log("p").alias("logp"), F.lit(None).cast("double").alias("bow")).unionByName(bows)
         out = rows if out is None else out.unionByName(rows)
     return out
@@ -192,11 +192,14 @@ class Arrays:
     def __init__(self, rows: pa.Table):
         self.p: dict = {}
         self.b: dict = {}
-        langs, ords = rows["lang"].to_pylist(), rows["ord"].to_numpy()
+        coded = rows["lang"].combine_chunks().dictionary_encode()
+        coded = coded.chunk(0) if hasattr(coded, "chunk") else coded
+        code = {v: i for i, v in enumerate(coded.dictionary.to_pylist())}
+        which, ords = coded.indices.fill_null(-1).to_numpy(zero_copy_only=False), rows["ord"].to_numpy()
+        if (which < 0).any():
+            code[None] = -1
         keys = rows["key"].to_numpy().view(np.uint64)
         logp, bow = (rows[c].to_numpy(zero_copy_only=False) for c in ("logp", "bow"))
-        code = {v: i for i, v in enumerate(dict.fromkeys(langs))}
-        which = np.array([code[v] for v in langs], dtype=np.int64)
         for lang, i in code.items():
             for n in range(ORDER + 1):
                 for store, values in ((self.p, logp), (self.b, bow)):
@@ -235,10 +238,8 @@ class Arrays:
 def model_rows(docs: DataFrame) -> DataFrame:
     """The finished model in the shared folder."""
     counts = written(count_grams(docs))
-    model = written(kneser_ney(counts))
-    drop_written(counts)
     release(docs.sparkSession)
-    return model
+    return kneser_ney(counts)
 
 
 # --- scoring ----------------------------------------------------------------------------------------------------
