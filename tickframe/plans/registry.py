@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickframe.plans import ledger  # noqa: F401  (registers its queries)
+from tickframe.plans import ledger, repairs  # noqa: F401  (they register their queries)
 from tickframe.plans.timeseries import QUERIES, SQL
 
 
