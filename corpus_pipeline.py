@@ -35,7 +35,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """SentencePiece: doc_id, n_tokens, ids and round_trip of every document of the mix."""
-    return sentencepiece_lattice.encode(docs)
+    return sentencepiece_lattice.encode(docs, stored=False)  # docs is read from files
 
 
 STAGES = [

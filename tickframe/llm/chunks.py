@@ -28,16 +28,20 @@ _BASE = 0x9E3779B97F4A7C15 | 1
 _INVERSE = pow(_BASE, -1, 1 << 64)
 
 
-def squeeze(a: np.ndarray) -> bytes:
-    return zstandard.ZstdCompressor(level=1).compress(np.ascontiguousarray(a).tobytes())
+def squeeze(a: np.ndarray, level: int = 1) -> bytes:
+    return zstandard.ZstdCompressor(level=level).compress(np.ascontiguousarray(a).tobytes())
 
 
 def expand(b: bytes, dtype) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), dtype=dtype)
 
 
-def pack(docs: DataFrame, size: int = CHUNK) -> DataFrame:
-    """Chunks of doc_id and text (null: empty) in the shared folder."""
+def pack(docs: DataFrame, size: int = CHUNK, stored: bool = True, level: int = 1) -> DataFrame:
+    """Chunks of doc_id and text (null: empty), in the shared folder.
+
+    With stored=False they are packed again at every use, which saves the space; chunk ids then hold only if docs is
+    read from files, whose splits do not change between uses.
+    """
 
     def run(batches):
         part, seq, ids, texts, held = TaskContext.get().partitionId(), 0, [], [], 0
@@ -47,7 +51,7 @@ def pack(docs: DataFrame, size: int = CHUNK) -> DataFrame:
             lens = np.array([len(t) for t in texts], dtype=np.int64)
             at = np.array([NO_ID if i is None else i for i in ids], dtype=np.int64)
             null = np.array([i is None for i in ids], dtype=np.int64)
-            row = [[(part << 24) | seq], [squeeze(np.concatenate([at, lens, null]))], [squeeze(np.frombuffer(b"".join(texts), dtype=np.uint8))]]
+            row = [[(part << 24) | seq], [squeeze(np.concatenate([at, lens, null]))], [squeeze(np.frombuffer(b"".join(texts), dtype=np.uint8), level)]]
             seq, ids, texts, held = seq + 1, [], [], 0
             return pa.RecordBatch.from_arrays([pa.array(row[0], pa.int64()), pa.array(row[1], pa.binary()), pa.array(row[2], pa.binary())], names=["chunk_id", "meta", "data"])
 
@@ -62,7 +66,8 @@ def pack(docs: DataFrame, size: int = CHUNK) -> DataFrame:
         if ids:
             yield emit()
 
-    return written(docs.select(F.col("doc_id").cast("long").alias("i"), F.col("text").alias("t")).mapInArrow(run, CHUNK_SCHEMA))
+    out = docs.select(F.col("doc_id").cast("long").alias("i"), F.col("text").alias("t")).mapInArrow(run, CHUNK_SCHEMA)
+    return written(out) if stored else out
 
 
 class Chunk:

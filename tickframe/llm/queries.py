@@ -14,7 +14,7 @@ def queries() -> dict:
         "op4_html_extraction": lambda s, d: html_text.extract(table(s, d, "pages")),
         "op5_secret_scans": lambda s, d: secrets.secret_report(table(s, d, "documents")),
         "op6_sharding": lambda s, d: sharding.shard(table(s, d, "documents")),
-        "op7_sentencepiece": lambda s, d: sentencepiece_lattice.encode(table(s, d, "documents")),
+        "op7_sentencepiece": lambda s, d: sentencepiece_lattice.encode(table(s, d, "documents"), stored=False),
         "op8_source_mixing": lambda s, d: mixing.mix_report(table(s, d, "documents")),
         "op9_suffix_array_dedup": lambda s, d: suffix_dedup.dedup_report(table(s, d, "documents")),
         "op10_jaccard_join": lambda s, d: jaccard_join.link_report(table(s, d, "documents")),

@@ -24,7 +24,6 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.chunks import Chunk, pack
-from tickframe.llm.common import release, written
 from tickframe.llm.unigram import SPACE, Vocabulary, pretokens
 
 CHUNK = 24 << 20
@@ -39,7 +38,7 @@ def _texts(c: Chunk):
 
 
 def words_of(chunks: DataFrame) -> DataFrame:
-    """word, chunk_id: the distinct pre-tokens of each chunk."""
+    """word, chunk_id, at: the distinct pre-tokens of each chunk, and their places in order."""
 
     def run(batches):
         for b in batches:
@@ -47,12 +46,12 @@ def words_of(chunks: DataFrame) -> DataFrame:
                 seen: set[str] = set()
                 for text in _texts(Chunk(meta, data)):
                     seen.update(pretokens(text))
-                words = list(seen)
+                words = sorted(seen)
                 for i in range(0, len(words), 50_000):
                     part = words[i : i + 50_000]
-                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([chunk_id] * len(part), pa.int64())], names=["word", "chunk_id"])
+                    yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([chunk_id] * len(part), pa.int64()), pa.array(np.arange(i, i + len(part), dtype=np.int32))], names=["word", "chunk_id", "at"])
 
-    return chunks.mapInArrow(run, "word string, chunk_id long")
+    return chunks.mapInArrow(run, "word string, chunk_id long, at int")
 
 
 def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -111,28 +110,35 @@ def viterbi(edges: Column, longest: int) -> Column:
 
 
 def encode_words(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
-    """word, any, ids of each word of words (word, any), which is partitioned by word."""
+    """The columns of words, and ids, of each word; words is partitioned by word, so nothing is shuffled."""
     edges = lattice(words, vocabulary)
-    gathered = edges.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("finish", "len", "score", "id"))).alias("edges"))
-    return gathered.select("word", viterbi(F.col("edges"), vocabulary.longest).alias("ids"))
+    others = [c for c in words.columns if c != "word"]
+    gathered = edges.groupBy("word").agg(F.sort_array(F.collect_list(F.struct("finish", "len", "score", "id"))).alias("edges"), *[F.min(c).alias(c) for c in others])
+    return gathered.select("word", *others, viterbi(F.col("edges"), vocabulary.longest).alias("ids"))
 
 
 def _assemble(model: str | None, check: bool):
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
         v = Vocabulary(model)
-        known = {}
-        flat, ends = right["ids"].combine_chunks(), None
-        ends = flat.offsets.to_numpy() if len(right) else np.zeros(1, np.int64)
-        values = flat.values.to_numpy() if len(right) else np.zeros(0, np.int32)
-        low = values.min() if len(values) else 0
-        for i, word in enumerate(right["word"].to_pylist()):
-            ids = values[ends[i] : ends[i + 1]]
-            if low < 0 and (ids < 0).any():
-                ids = np.array([x for y in ids.tolist() for x in ([y] if y >= 0 else v.byte_ids(chr(-1 - y)))], np.int32)
-            known[word] = ids.tobytes()
+        at, parts = right["at"].to_numpy(), right["ids"].combine_chunks()
+        offsets, values = (parts.offsets.to_numpy(), parts.values.to_numpy()) if len(right) else (np.zeros(1, np.int64), np.zeros(0, np.int32))
         out = {"doc_id": [], "n_tokens": [], "ids": [], "round_trip": []}
         for meta, data in zip(left["meta"].to_pylist(), left["data"].to_pylist()):
             c = Chunk(meta, data)
+            seen: set[str] = set()
+            for text in _texts(c):
+                seen.update(pretokens(text))
+            words = sorted(seen)
+            if len(words) != len(at) or len(at) and (at.min(), at.max()) != (0, len(at) - 1):
+                raise RuntimeError("chunks changed between uses: pack them with stored=True")
+            del seen
+            coded: list[bytes] = [b""] * len(words)
+            for i, place in enumerate(at.tolist()):
+                ids = values[offsets[i] : offsets[i + 1]]
+                if len(ids) and ids.min() < 0:
+                    ids = np.array([x for y in ids.tolist() for x in ([y] if y >= 0 else v.byte_ids(chr(-1 - y)))], np.int32)
+                coded[place] = ids.tobytes()
+            known = dict(zip(words, coded))
             for i, null, text in zip(c.ids.tolist(), c.null.tolist(), _texts(c)):
                 ids = np.frombuffer(b"".join(map(known.__getitem__, pretokens(text))), np.int32)
                 out["doc_id"].append(None if null else i)
@@ -145,14 +151,18 @@ def _assemble(model: str | None, check: bool):
     return run
 
 
-def encode(docs: DataFrame, model: str | None = None, check: bool = True) -> DataFrame:
-    """doc_id, n_tokens, ids, round_trip (whether decoding the ids gives the text back), one row per input row."""
+def encode(docs: DataFrame, model: str | None = None, check: bool = True, stored: bool = True) -> DataFrame:
+    """doc_id, n_tokens, ids, round_trip (whether decoding the ids gives the text back), one row per input row.
+
+    stored=False packs the documents again instead of storing chunks; docs must then be read from files.
+    """
     vocabulary = Vocabulary(model)
-    chunks = pack(docs, CHUNK)
+    chunks = pack(docs, CHUNK, stored, 6)
     words = words_of(chunks).repartition("word")
-    coded = encode_words(words.groupBy("word").agg(F.min("chunk_id").alias("any")).select("word"), vocabulary)
-    back = written(words.join(coded, "word").select("chunk_id", "word", "ids"))
-    release(docs.sparkSession)
+    # the least chunk is kept so that both uses of words share one shuffle
+    distinct = words.groupBy("word").agg(F.min("chunk_id").alias("any"), F.min("at").alias("any_at"))
+    coded = encode_words(distinct, vocabulary).filter("any is not null and any_at is not null").select("word", "ids")
+    back = words.join(coded.hint("shuffle_merge"), "word").select("chunk_id", "at", "ids")
     return chunks.groupBy("chunk_id").cogroup(back.groupBy("chunk_id")).applyInArrow(_assemble(model, check), "doc_id long, n_tokens long, ids array<int>, round_trip boolean")
 
 
