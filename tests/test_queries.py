@@ -13,7 +13,7 @@ TABLES = "region nation customer supplier part orders lineitem events documents
 
 def plain(frame: pd.DataFrame) -> list[tuple]:
     def cell(x):
-        if x is None or x is pd.NaT or (isinstance(x, float) and x != x):
+        if not isinstance(x, (list, str)) and pd.isna(x):
             return ""
         if isinstance(x, float):
             return f"{round(x, 9) + 0.0:g}" if abs(x) < 1e5 else f"{x:.6f}".rstrip("0").rstrip(".")
