@@ -388,6 +388,14 @@ def test_jaccard_join(spark, none, monkeypatch, small):
         assert jaccard_join.keep_one(df).columns == df.columns
 
 
+def test_components_both_ways(spark):
+    rng = random.Random(2)
+    edges = spark.createDataFrame([(rng.randrange(300), rng.randrange(300)) for _ in range(200)] + [(1000 + i, 1001 + i) for i in range(40)], "a long, b long").repartition(4)
+    want = sorted((r.node, r.root) for r in jaccard_join.components(edges).collect())
+    assert want == sorted((r.node, r.root) for r in jaccard_join.components(edges, 0).collect())
+    assert (1040, 1000) in want
+
+
 def test_signatures_lose_no_link():
     """Linked sets share a signature, whichever shingles are called frequent."""
     rng = np.random.default_rng(4)

@@ -10,14 +10,17 @@ sequence is its one shingle; without words the set is empty and linked with noth
    Within a pair of bands linked sets differ in at most k = 2 * (largest size) / 9 elements. The feature domain is
    partitioned by hash into m > k parts, so linked sets agree in at least m - k parts, and every non-empty part's
    content is a signature. If one of the sets fills more than k parts, the pair shares a signature for certain. A set
-   that does not is enumerated again under the next partition of the domain; after LEVELS of them (never in practice)
-   every single element becomes a signature. So no link is lost.
-   The first partition of the domain sets frequent shingles apart (those of passages that many documents share, found
-   by counting within chunks; at most HEAVY of them, whose choice decides cost and never results): common passages
-   make no signatures, unless little else is in a document.
+   that does not is enumerated again under the next partition (LEVELS), and at last every single element becomes a
+   signature. So no link is lost.
+   The first partitions set frequent shingles apart (those of passages that many documents share, found by counting
+   within chunks; at most HEAVY of them, whose choice decides cost and never results), with more and smaller parts from
+   level to level. Signatures of rare shingles are shared by few documents; only documents that are mostly made
+   of frequent shingles, such as members of large groups of copies, come to the levels that use all shingles.
 3. Documents that share a signature are candidates. Groups of up to SMALL give all their pairs; a larger group gives
    the pairs of one member with all others, and is kept for step 5.
-4. Candidates' sets meet in joins and are compared in full. Links become components by repeated star contraction.
+4. Sets of candidates are stored once. A pair whose size or histogram of BINS hashed bins bounds its similarity below the
+   limit is dropped; for the others sets meet in joins and are compared in full. Links become components by
+   alternating stars.
 5. A large group whose members lie in one component is done. Otherwise members outside its largest component take
    turns: each meets all members of other components, until every pair across components has been compared.
 
@@ -35,16 +38,20 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from tickframe.llm.chunks import NO_ID, Chunk, expand, mixed, pack, prefix_sums, span_hashes, squeeze
-from tickframe.llm.common import release, written
+from tickframe.llm.common import drop_written, release, written
 
 SHINGLE = 5
 SEGMENT = 1 << 20
-LEVELS = 8
-HEAVY = 200_000
-#: A shingle is frequent if so many documents of one chunk hold it, with chunks of this many documents or more.
-HEAVY_IN_CHUNK = 8
-SMALL = 8
-TURNS = 8
+#: (whether frequent shingles are set apart, parts of the domain for each difference that linked sets may have)
+LEVELS = [(True, 1.3), (True, 3.0), (True, 8.0), (False, 1.3), (False, 1.3), (False, 3.0), (False, 8.0)]
+HEAVY = 1_000_000
+#: A shingle counts in chunks where so many documents hold it, and is frequent from so many such documents on.
+HEAVY_IN_CHUNK, HEAVY_IN_ALL = 2, 4
+SMALL = 32
+TURNS = 64
+BINS = 256
+CHUNK = 4 << 20
+EDGES_AT_ONCE = 500_000
 BUCKET_SIGNATURES = 3_000_000
 _U = np.uint64
 _MULT = mixed(np.arange(1, SHINGLE + 2, dtype=_U)) | _U(1)
@@ -58,9 +65,8 @@ BANDS = [1]
 while BANDS[-1] < 1 << 40:
     BANDS.append(-(-BANDS[-1] * 5 // 4) if BANDS[-1] > 3 else BANDS[-1] + 1)
 BANDS = np.array(BANDS, dtype=np.int64)
-#: For the pair of bands below each bound: differences of linked sets, and parts of the domain.
+#: For the pair of bands below each bound: differences of linked sets.
 DIFFER = np.append(2 * (BANDS[1:] - 1) // 9, 1 << 40)
-PARTS = np.ceil(1.3 * (DIFFER + 1)).astype(np.int64) + 2
 
 
 def shingles(c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -153,21 +159,18 @@ def signatures(d: np.ndarray, h: np.ndarray, n: np.ndarray, heavy: np.ndarray) -
         light = np.ones(len(h), bool)
     for slot in (0, 1):
         inst = band + slot
-        todo_d, todo_h = d[light], h[light]
         short = np.zeros(len(n), bool)
         short[d] = True
-        for level in range(LEVELS + 1):
-            if level:
-                mine = short[d]
-                todo_d, todo_h = d[mine], h[mine]
-            if not len(todo_d) and not short.any():
+        for level in range(len(LEVELS) + 1):
+            rare, spread = LEVELS[level] if level < len(LEVELS) else (False, 0)
+            mine = short[d] & light if rare else short[d]
+            todo_d, todo_h = d[mine], h[mine]
+            if not short.any():
                 break
-            which = inst[todo_d]
-            if level == LEVELS:
-                part, content = np.arange(len(todo_d)), mixed(todo_h)
-                owner = todo_d
+            if not spread:
+                owner, part, content = todo_d, np.zeros(len(todo_d), np.int64), mixed(todo_h)
             else:
-                m = PARTS[which].astype(_U)
+                m = (np.ceil(spread * (DIFFER[inst[todo_d]] + 1)) + 2).astype(_U)
                 part = (((mixed(todo_h ^ (_MULT[2] * _U(level + 1))) >> _U(32)) * m) >> _U(32)).astype(np.int64)
                 key = (todo_d.astype(np.int64) << 32) | part
                 order = np.argsort(key, kind="stable")
@@ -175,12 +178,9 @@ def signatures(d: np.ndarray, h: np.ndarray, n: np.ndarray, heavy: np.ndarray) -
                 cut = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
                 content = np.add.reduceat(mixed(todo_h[order] + _MULT[3]), cut) if len(cut) else np.zeros(0, _U)
                 owner, part = key[cut] >> 32, key[cut] & 0xFFFFFFFF
-            label = part if level < LEVELS else np.zeros(len(owner), np.int64)
             docs.append(owner)
-            sigs.append(mixed(content + mixed(inst[owner].astype(_U) * _MULT[4] + label.astype(_U) * _MULT[0] + _U(level))))
-            if level < LEVELS:
-                filled = np.bincount(owner, minlength=len(n))
-                short &= filled <= DIFFER[inst]
+            sigs.append(mixed(content + mixed(inst[owner].astype(_U) * _MULT[4] + part.astype(_U) * _MULT[0] + _U(level))))
+            short &= np.bincount(owner, minlength=len(n)) <= DIFFER[inst]
     return (np.concatenate(docs), np.concatenate(sigs)) if docs else (np.zeros(0, np.int64), np.zeros(0, _U))
 
 
@@ -234,16 +234,18 @@ def _candidates(table: pa.Table) -> pa.Table:
             for x in range(s):
                 for y in range(x + 1, s):
                     pairs.append(rows[:, [x, y]])
-    for at, s in zip(cut[size > SMALL].tolist(), size[size > SMALL].tolist()):
-        group = gid[at : at + s]
+    large = [gid[at : at + s] for at, s in zip(cut[size > SMALL].tolist(), size[size > SMALL].tolist())]
+    # the member that most large groups hold stands nearest to the others: the text that was copied and changed
+    often = dict(zip(*(x.tolist() for x in np.unique(np.concatenate(large), return_counts=True)))) if large else {}
+    for group in large:
         key = int(np.add.reduce(mixed(group.astype(_U))).view(np.int64))
         if key in seen:
             continue
         seen.add(key)
-        center = group[np.argmin(mixed(group.astype(_U)))]
+        center = max(group.tolist(), key=lambda g: (often[g], -g))
         rest = group[group != center]
         pairs.append(np.stack([np.minimum(rest, center), np.maximum(rest, center)], axis=1))
-        keys.append(np.full(s, key, np.int64))
+        keys.append(np.full(len(group), key, np.int64))
         members.append(group)
     p = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
     k, m = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, members))
@@ -252,18 +254,36 @@ def _candidates(table: pa.Table) -> pa.Table:
 
 
 def _sets(left: pa.Table, right: pa.Table) -> pa.Table:
-    """Sets of the wanted documents of a chunk: sorted hashes, 6 bytes each."""
-    out = {"gid": [], "n": [], "elements": []}
+    """Sets of the wanted documents of a chunk: sorted hashes, 6 bytes each, and their histogram."""
+    out = {"gid": [], "n": [], "bins": [], "elements": []}
     for chunk_id, meta, data in zip(*(left[x].to_pylist() for x in ("chunk_id", "meta", "data"))):
         d, h, n = shingles(Chunk(meta, data))
         begin = np.cumsum(n) - n
         low = (h >> _U(16)).view(np.uint8).reshape(-1, 8)[:, :6]
+        bin_of = (h & _U(BINS - 1)).astype(np.int64)
         for g in right["gid"].to_pylist():
             i = g & ((1 << 20) - 1)
+            mine = slice(begin[i], begin[i] + n[i])
             out["gid"].append(g)
             out["n"].append(int(n[i]))
-            out["elements"].append(low[begin[i] : begin[i] + n[i]].tobytes())
-    return pa.table({"gid": pa.array(out["gid"], pa.int64()), "n": pa.array(out["n"], pa.int64()), "elements": pa.array(out["elements"], pa.binary())})
+            out["bins"].append(np.minimum(np.bincount(bin_of[mine], minlength=BINS), 255).astype(np.uint8).tobytes())
+            out["elements"].append(low[mine].tobytes())
+    return pa.table({"gid": pa.array(out["gid"], pa.int64()), "n": pa.array(out["n"], pa.int64()), "bins": pa.array(out["bins"], pa.binary()), "elements": pa.array(out["elements"], pa.binary())})
+
+
+def _possible(batches):
+    """Pairs (a, b, na, nb, bins of a, bins of b) whose similarity may reach the limit: common elements are at most the sum of the lesser bins."""
+    for b in batches:
+        keep = []
+        a, c, na, nc = (b.column(i).to_numpy() for i in range(4))
+        for at in range(0, len(a), 4096):
+            x, y = (np.frombuffer(b"".join(b.column(i)[at : at + 4096].to_pylist()), np.uint8).reshape(-1, BINS) for i in (4, 5))
+            both = np.minimum(x, y).sum(axis=1, dtype=np.int64)
+            full = ((x == 255) & (y == 255)).any(axis=1)
+            total = na[at : at + 4096] + nc[at : at + 4096]
+            keep.append(full | (100 * both >= 80 * (total - both)))
+        k = np.concatenate(keep) if keep else np.zeros(0, bool)
+        yield pa.RecordBatch.from_arrays([pa.array(a[k]), pa.array(c[k])], names=["a", "b"])
 
 
 def _elements(raw: bytes) -> np.ndarray:
@@ -289,35 +309,65 @@ def _verify(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(c, pa.int64()), pa.array(keep, pa.bool_())], names=["a", "b", "link"])
 
 
-def links_of(pairs: DataFrame, chunks: DataFrame) -> DataFrame:
+def sets_of(wanted: DataFrame, chunks: DataFrame) -> DataFrame:
+    """gid, n, bins, elements of the wanted documents (gid), in the shared folder."""
+    wanted = wanted.distinct().withColumn("chunk_id", F.shiftright("gid", 20))
+    return written(chunks.groupBy("chunk_id").cogroup(wanted.groupBy("chunk_id")).applyInArrow(_sets, "gid long, n long, bins binary, elements binary"))
+
+
+def links_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     """a, b of those pairs that link, in the shared folder."""
-    wanted = pairs.select(F.col("a").alias("gid")).union(pairs.select("b")).distinct().withColumn("chunk_id", F.shiftright("gid", 20))
-    sets = written(chunks.groupBy("chunk_id").cogroup(wanted.groupBy("chunk_id")).applyInArrow(_sets, "gid long, n long, elements binary"))
-    left = sets.select(F.col("gid").alias("a"), F.col("n").alias("na"), F.col("elements").alias("ea"))
-    right = sets.select(F.col("gid").alias("b"), F.col("n").alias("nb"), F.col("elements").alias("eb"))
-    sized = pairs.join(left.select("a", "na"), "a").join(right.select("b", "nb"), "b").filter("100 * least(na, nb) >= 80 * greatest(na, nb)").select("a", "b")
-    both = sized.join(right.select("b", "eb"), "b").join(left.select("a", "ea"), "a").select("a", "b", "ea", "eb")
+    one = lambda x, c: sets.select(F.col("gid").alias(x), *[F.col(k).alias(f"{k}_{x}") for k in c])
+    sized = pairs.join(one("a", ["n", "bins"]), "a").join(one("b", ["n", "bins"]), "b").filter("100 * least(n_a, n_b) >= 80 * greatest(n_a, n_b)")
+    binned = sized.select("a", "b", "n_a", "n_b", "bins_a", "bins_b")
+    possible = written(binned.mapInArrow(_possible, "a long, b long"))
+    both = possible.join(one("b", ["elements"]), "b").join(one("a", ["elements"]), "a").select("a", "b", "elements_a", "elements_b")
     return written(both.mapInArrow(_verify, "a long, b long, link boolean").filter("link").select("a", "b"))
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """node, root (the least node reachable), for the nodes of edges (a, b); by alternating large and small stars."""
+def _forest(batches):
+    """Edges (a, b) of one task as (node, root): union-find, the least node as root."""
+    up: dict[int, int] = {}
+
+    def find(x):
+        while up.setdefault(x, x) != x:
+            up[x] = x = up[up[x]]
+        return x
+
+    for batch in batches:
+        for x, y in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
+            x, y = find(x), find(y)
+            if x != y:
+                up[max(x, y)] = min(x, y)
+    nodes = [x for x in up if find(x) != x]
+    yield pa.RecordBatch.from_arrays([pa.array(nodes, pa.int64()), pa.array([find(x) for x in nodes], pa.int64())], names=["node", "root"])
+
+
+def components(edges: DataFrame, at_once: int = EDGES_AT_ONCE) -> DataFrame:
+    """node, root (the least node reachable), for the nodes of edges (a, b) other than roots.
+
+    At most at_once edges (counted) are joined in one task. Beyond that every task contracts its own edges, and large and
+    small stars alternate over what is left.
+    """
+    if edges.count() <= at_once:
+        return written(edges.select("a", "b").coalesce(1).mapInArrow(_forest, "node long, root long"))
+    edges = edges.select("a", "b").mapInArrow(_forest, "a long, b long")
     current = written(edges.select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).filter("u <> v").distinct())
-    spark = edges.sparkSession
     while True:
         both = current.select("u", "v").union(current.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        # large star: larger neighbours go to the least neighbour
-        least = Window.partitionBy("u")
-        large = both.withColumn("m", F.least(F.col("u"), F.min("v").over(least))).filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
+        # large star: larger neighbours go to the least of the node and its neighbours
+        least = both.groupBy("u").agg(F.min("v").alias("m"))
+        large = both.filter("v > u").join(least, "u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
         # small star: smaller neighbours and the node itself go to the least neighbour
-        small = large.withColumn("m", F.min("v").over(least))
-        small = small.select(F.col("v").alias("u"), F.col("m").alias("v")).union(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
+        least = large.groupBy("u").agg(F.min("v").alias("m"))
+        small = large.join(least, "u").filter("v <> m").select(F.col("v").alias("u"), F.col("m").alias("v")).union(least.select("u", F.col("m").alias("v"))).distinct()
         after = written(small)
-        one_each = after.groupBy("u").count().filter("count > 1").limit(1).count() == 0
-        roots = after.select(F.col("v").alias("w")).distinct()
-        flat = one_each and after.join(roots, F.col("u") == F.col("w"), "left_semi").limit(1).count() == 0
+        # a star forest: every node has one root, and no root has one
+        again = after.groupBy("u").count().filter("count > 1").select("u")
+        inner = after.select("u").join(after.select(F.col("v").alias("u")).distinct(), "u", "left_semi")
+        flat = again.union(inner).limit(1).count() == 0
+        drop_written(current)
         current = after
-        release(spark)
         if flat:
             return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
@@ -341,11 +391,11 @@ def _turns(groups: DataFrame, comp: DataFrame, done: DataFrame | None) -> tuple[
 def link_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per input row."""
     spark = docs.sparkSession
-    chunks = pack(docs)
+    chunks = pack(docs, CHUNK)
     described = written(chunks.mapInArrow(_describe, DESCRIPTION))
     documents = described.filter("kind = 0").drop("kind")
-    frequent = described.filter("kind = 1").groupBy("gid").agg(F.sum("n").alias("df")).orderBy(F.desc("df"), "gid").limit(HEAVY)
-    heavy = spark.sparkContext.broadcast(np.sort(np.array([r["gid"] for r in frequent.collect()], dtype=np.int64).view(_U)))
+    frequent = described.filter("kind = 1").groupBy("gid").agg(F.sum("n").alias("df")).filter(F.col("df") >= HEAVY_IN_ALL).orderBy(F.desc("df"), "gid").limit(HEAVY)
+    heavy = spark.sparkContext.broadcast(np.sort(frequent.select("gid").toArrow()["gid"].to_numpy().astype(np.int64).view(_U)))
     # one document of each class of equal sets: the one with the least id
     by_class = documents.filter("n > 0").groupBy("one", "two", "n").agg(F.min(F.struct("doc_id", "gid"))["gid"].alias("rep"))
     reps = by_class.select(F.col("rep").alias("gid")).withColumn("chunk_id", F.shiftright("gid", 20))
@@ -355,14 +405,17 @@ def link_documents(docs: DataFrame) -> DataFrame:
     found = written(sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_candidates, CANDIDATES))
     release(spark)
     groups = found.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("member")).distinct()
-    links = links_of(found.filter("kind = 0").select("a", "b").distinct(), chunks)
+    pairs = found.filter("kind = 0").select("a", "b").distinct()
+    sets = sets_of(pairs.select(F.col("a").alias("gid")).union(pairs.select("b")), chunks)  # a large group's members are in its pairs
+    release(spark)
+    links = links_of(pairs, sets)
     comp, done = components(links), None
     while groups.limit(1).count():
         turn, pairs = _turns(groups, comp, done)
         if turn.limit(1).count() == 0:
             break
         done = turn if done is None else written(done.union(turn))
-        links = written(links.union(links_of(pairs, chunks)))
+        links = written(links.union(links_of(pairs, sets)))
         comp = components(links)
         release(spark)
     return _named(documents, by_class, comp)
