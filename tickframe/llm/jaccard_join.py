@@ -16,13 +16,15 @@ sequence is its one shingle; without words the set is empty and linked with noth
    within chunks; at most HEAVY of them, whose choice decides cost and never results), with more and smaller parts from
    level to level. Signatures of rare shingles are shared by few documents; only documents that are mostly made
    of frequent shingles, such as members of large groups of copies, come to the levels that use all shingles.
-3. Documents that share a signature are candidates. Groups of up to SMALL give all their pairs; a larger group gives
-   the pairs of one member with all others, and is kept for step 5.
+3. Documents that share a signature are candidates. Groups of up to SMALL give all their pairs. A larger group gives
+   the pairs of one member, its centre, with all others: the one that most large groups hold, which is the text that
+   was copied and changed.
 4. Sets of candidates are stored once. A pair whose size or histogram of BINS hashed bins bounds its similarity below the
-   limit is dropped; for the others sets meet in joins and are compared in full. Links become components by
-   alternating stars.
-5. A large group whose members lie in one component is done. Otherwise members outside its largest component take
-   turns: each meets all members of other components, until every pair across components has been compared.
+   limit is dropped; for the others sets meet in joins and are compared in full. Links become components.
+5. Members of a large group that are not connected with its centre c may still link with others. For such f and any x,
+   |f & x| <= min(|f & c|, |x & c|) + |(f - c) & (x - c)|. What members have beyond the centre is small; counting what
+   is shared of it gives the last term by an equi-join, and only pairs that the bound allows are compared. So a large
+   group costs its members and never its pairs, and one round is complete.
 
 Texts are read in chunks; step 2 sends hashes of signatures only, and false candidates from hash collisions are
 dropped in step 4. Null text counts as empty. Null doc_id: linked like others, but never the smallest. Empty table:
@@ -35,7 +37,6 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
 from tickframe.llm.chunks import NO_ID, Chunk, expand, mixed, pack, prefix_sums, span_hashes, squeeze
 from tickframe.llm.common import drop_written, release, written
@@ -48,7 +49,6 @@ HEAVY = 1_000_000
 #: A shingle counts in chunks where so many documents hold it, and is frequent from so many such documents on.
 HEAVY_IN_CHUNK, HEAVY_IN_ALL = 2, 4
 SMALL = 32
-TURNS = 64
 BINS = 256
 CHUNK = 4 << 20
 EDGES_AT_ONCE = 500_000
@@ -213,7 +213,7 @@ CANDIDATES = "kind int, a long, b long"
 
 
 def _candidates(table: pa.Table) -> pa.Table:
-    """Step 3, in a bucket: kind 0: a pair of documents; kind 1: a large group's key and a member."""
+    """Step 3, in a bucket: kind 0: a pair of documents; kind 1: a large group's centre and a member."""
     sigs, gids = [], []
     for chunk_id, p in zip(table["chunk_id"].to_pylist(), table["payload"].to_pylist()):
         n = int(np.frombuffer(p, np.int64, 1)[0])
@@ -226,7 +226,7 @@ def _candidates(table: pa.Table) -> pa.Table:
     sig, gid = sig[new], gid[new]
     cut = np.flatnonzero(np.append(True, sig[1:] != sig[:-1]))
     size = np.diff(np.append(cut, len(sig)))
-    pairs, keys, members, seen = [], [], [], set()
+    pairs, stars = [], []
     for s in range(2, SMALL + 1):
         at = cut[size == s]
         if len(at):
@@ -238,19 +238,13 @@ def _candidates(table: pa.Table) -> pa.Table:
     # the member that most large groups hold stands nearest to the others: the text that was copied and changed
     often = dict(zip(*(x.tolist() for x in np.unique(np.concatenate(large), return_counts=True)))) if large else {}
     for group in large:
-        key = int(np.add.reduce(mixed(group.astype(_U))).view(np.int64))
-        if key in seen:
-            continue
-        seen.add(key)
         center = max(group.tolist(), key=lambda g: (often[g], -g))
         rest = group[group != center]
-        pairs.append(np.stack([np.minimum(rest, center), np.maximum(rest, center)], axis=1))
-        keys.append(np.full(len(group), key, np.int64))
-        members.append(group)
-    p = np.unique(np.concatenate(pairs), axis=0) if pairs else np.zeros((0, 2), np.int64)
-    k, m = (np.concatenate(x) if x else np.zeros(0, np.int64) for x in (keys, members))
-    kind = np.concatenate([np.zeros(len(p), np.int32), np.ones(len(k), np.int32)])
-    return pa.table({"kind": kind, "a": np.concatenate([p[:, 0], k]), "b": np.concatenate([p[:, 1], m])})
+        stars.append(np.stack([np.full(len(rest), center), rest], axis=1))
+    p, q = (np.unique(np.concatenate(x), axis=0) if x else np.zeros((0, 2), np.int64) for x in (pairs, stars))
+    kind = np.concatenate([np.zeros(len(p), np.int32), np.ones(len(q), np.int32)])
+    both = np.concatenate([p, q])
+    return pa.table({"kind": kind, "a": both[:, 0], "b": both[:, 1]})
 
 
 def _sets(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -325,6 +319,42 @@ def links_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return written(both.mapInArrow(_verify, "a long, b long, link boolean").filter("link").select("a", "b"))
 
 
+def _compare(batches):
+    """For (a, b) with their sets: sizes, common elements, and what b has beyond a."""
+    for batch in batches:
+        out = {"a": batch.column(0).to_pylist(), "b": batch.column(1).to_pylist(), "n_a": [], "n_b": [], "both": [], "rest": []}
+        for x, y in zip(batch.column(2), batch.column(3)):
+            x, y = _elements(x.as_py()), _elements(y.as_py())
+            at = np.minimum(np.searchsorted(x, y), max(len(x) - 1, 0))
+            rest = y[x[at] != y] if len(x) else y
+            for name, v in (("n_a", len(x)), ("n_b", len(y)), ("both", len(y) - len(rest)), ("rest", rest.astype(np.int64))):
+                out[name].append(v)
+        kinds = {"a": pa.int64(), "b": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(), "both": pa.int64(), "rest": pa.list_(pa.int64())}
+        yield pa.RecordBatch.from_arrays([pa.array(out[c], t) for c, t in kinds.items()], names=list(kinds))
+
+
+def stars_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """a, b, n_a, n_b, both, rest of centres a and members b, in the shared folder."""
+    one = lambda x: sets.select(F.col("gid").alias(x), F.col("elements").alias(f"e_{x}"))
+    met = pairs.join(one("b"), "b").join(one("a"), "a").select("a", "b", "e_a", "e_b")
+    return written(met.mapInArrow(_compare, "a long, b long, n_a long, n_b long, both long, rest array<bigint>"))
+
+
+def _left_over(stars: DataFrame, comp: DataFrame) -> DataFrame:
+    """Step 5: the pairs (a, b) that the bound allows, of members that are not connected with their centre and any others."""
+    at = lambda c: comp.select(F.col("node").alias(f"_{c}"), F.col("root").alias(f"root_{c}"))
+    placed = stars.join(at("a"), F.col("a") == F.col("_a"), "left").join(at("b"), F.col("b") == F.col("_b"), "left")
+    outside = placed.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
+    f = outside.select(F.col("a").alias("c"), F.col("b").alias("f"), F.col("n_b").alias("n_f"), F.col("both").alias("both_f"), F.col("rest").alias("rest_f"))
+    x = stars.select(F.col("a").alias("c"), F.col("b").alias("x"), F.col("n_b").alias("n_x"), F.col("both").alias("both_x"), F.col("rest").alias("rest_x"))
+    allowed = lambda shared: 9 * (F.least("both_f", "both_x") + shared) >= 4 * (F.col("n_f") + F.col("n_x"))
+    near = f.drop("rest_f").join(x.drop("rest_x"), "c").filter((F.col("f") != F.col("x")) & allowed(F.lit(0)))
+    exploded = f.withColumn("e", F.explode("rest_f")).drop("rest_f").join(x.withColumn("e", F.explode("rest_x")).drop("rest_x"), ["c", "e"]).filter("f <> x")
+    counted = exploded.groupBy("c", "f", "x").agg(F.count("*").alias("shared"), *[F.first(k).alias(k) for k in ("n_f", "n_x", "both_f", "both_x")])
+    pairs = near.select("f", "x").union(counted.filter(allowed(F.col("shared"))).select("f", "x"))
+    return pairs.select(F.least("f", "x").alias("a"), F.greatest("f", "x").alias("b")).distinct()
+
+
 def _forest(batches):
     """Edges (a, b) of one task as (node, root): union-find, the least node as root."""
     up: dict[int, int] = {}
@@ -372,22 +402,6 @@ def components(edges: DataFrame, at_once: int = EDGES_AT_ONCE) -> DataFrame:
             return current.select(F.col("u").alias("node"), F.col("v").alias("root"))
 
 
-def _turns(groups: DataFrame, comp: DataFrame, done: DataFrame | None) -> tuple[DataFrame, DataFrame]:
-    """Step 5: members that take their turn in this round (key, member), and the pairs to compare."""
-    placed = groups.join(comp, F.col("member") == F.col("node"), "left").select("key", "member", F.coalesce("root", "member").alias("root"))
-    sizes = placed.groupBy("key", "root").agg(F.count("*").alias("size"))
-    most = sizes.groupBy("key").agg(F.max_by("root", F.struct("size", "root")).alias("main"), F.count("*").alias("roots")).filter("roots > 1")
-    placed = placed.join(most.select("key", "main"), "key")
-    outside = placed.filter("root <> main").select("key", "member", "root")
-    if done is not None:
-        outside = outside.join(done, ["key", "member"], "left_anti")
-    turn = outside.withColumn("nth", F.row_number().over(Window.partitionBy("key").orderBy(F.xxhash64("member"), "member"))).filter(F.col("nth") <= TURNS)
-    turn = written(turn.select("key", F.col("member").alias("center"), F.col("root").alias("center_root")))
-    pairs = placed.join(turn, "key").filter("root <> center_root")
-    pairs = pairs.select(F.least("member", "center").alias("a"), F.greatest("member", "center").alias("b")).distinct()
-    return turn.select("key", F.col("center").alias("member")), pairs
-
-
 def link_documents(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per input row."""
     spark = docs.sparkSession
@@ -404,20 +418,18 @@ def link_documents(docs: DataFrame) -> DataFrame:
     sent = chunks.groupBy("chunk_id").cogroup(reps.groupBy("chunk_id")).applyInArrow(_send_signatures(heavy, buckets), "bucket int, chunk_id long, payload binary")
     found = written(sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_candidates, CANDIDATES))
     release(spark)
-    groups = found.filter("kind = 1").select(F.col("a").alias("key"), F.col("b").alias("member")).distinct()
     pairs = found.filter("kind = 0").select("a", "b").distinct()
-    sets = sets_of(pairs.select(F.col("a").alias("gid")).union(pairs.select("b")), chunks)  # a large group's members are in its pairs
+    centres = found.filter("kind = 1").select("a", "b").distinct()
+    wanted = found.select(F.col("a").alias("gid")).union(found.select("b"))
+    sets = sets_of(wanted, chunks)
     release(spark)
     links = links_of(pairs, sets)
-    comp, done = components(links), None
-    while groups.limit(1).count():
-        turn, pairs = _turns(groups, comp, done)
-        if turn.limit(1).count() == 0:
-            break
-        done = turn if done is None else written(done.union(turn))
-        links = written(links.union(links_of(pairs, sets)))
-        comp = components(links)
+    if centres.limit(1).count():
+        stars = stars_of(centres, sets)
+        links = written(links.union(stars.filter("100 * both >= 80 * (n_a + n_b - both)").select("a", "b")))
+        links = links.union(links_of(_left_over(stars, components(links)), sets))
         release(spark)
+    comp = components(links)
     return _named(documents, by_class, comp)
 
 
