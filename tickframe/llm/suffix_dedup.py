@@ -40,6 +40,7 @@ from tickframe.llm.common import drop_written, release, written
 WINDOW = 50
 GRAM = 20
 SEGMENT = 1 << 20
+CHUNK = 4 << 20
 #: Runs that a bucket should hold.
 BUCKET_RUNS = 1_500_000
 #: Chunks that splitters are sampled from, and samples of each.
@@ -319,10 +320,10 @@ def _cut(splitters: np.ndarray, buckets: int, with_bytes: bool):
 def deduplicate(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256, kept (the remaining bytes, if asked for): one row a document."""
     spark = docs.sparkSession
-    chunks = pack(docs)
+    chunks = pack(docs, CHUNK)
     total = chunks.agg(F.count("*").alias("n")).first()["n"]
     # a chunk has about one run for every 16 bytes
-    buckets = max(8, min(4096, int(total * (8 << 20) / 16 / BUCKET_RUNS) + 1))
+    buckets = max(8, min(4096, int(total * CHUNK / 16 / BUCKET_RUNS) + 1))
     word = spark.createDataFrame([], "bucket int") if total == 0 else None
     if word is not None:
         return spark.createDataFrame([], "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
@@ -335,7 +336,8 @@ def deduplicate(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
                 pick = r.anchor[np.argsort(mixed(r.run))[:SPLIT_SAMPLES]]
                 yield pa.RecordBatch.from_arrays([pa.array(_leading(c, pick).tolist(), pa.binary())], names=["w"])
 
-    sample = sorted(x["w"] for x in chunks.limit(SPLIT_CHUNKS).mapInArrow(leading, "w binary").collect())
+    first = chunks.filter(f"chunk_id & 16777215 = 0 and chunk_id >> 24 < {SPLIT_CHUNKS}")  # first chunks of the first partitions
+    sample = sorted(x["w"] for x in first.mapInArrow(leading, "w binary").collect())
     splitters = np.array([sample[i * len(sample) // buckets] for i in range(1, buckets)] if sample else [], dtype="S16")
     announced = chunks.mapInArrow(_announce(buckets), MESSAGE)
     states = written(announced.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_settle, MESSAGE))
