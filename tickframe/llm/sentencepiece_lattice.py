@@ -26,7 +26,7 @@ from pyspark.sql import functions as F
 from tickframe.llm.chunks import Chunk, pack
 from tickframe.llm.unigram import SPACE, Vocabulary, pretokens
 
-CHUNK = 24 << 20
+CHUNK = 12 << 20
 BACK = 256
 #: A character without a piece is the edge -1 - its code point.
 
