@@ -348,9 +348,11 @@ def _left_over(stars: DataFrame, comp: DataFrame) -> DataFrame:
     f = outside.select(F.col("a").alias("c"), F.col("b").alias("f"), F.col("n_b").alias("n_f"), F.col("both").alias("both_f"), F.col("rest").alias("rest_f"))
     x = stars.select(F.col("a").alias("c"), F.col("b").alias("x"), F.col("n_b").alias("n_x"), F.col("both").alias("both_x"), F.col("rest").alias("rest_x"))
     allowed = lambda shared: 9 * (F.least("both_f", "both_x") + shared) >= 4 * (F.col("n_f") + F.col("n_x"))
+    x = x.join(f.select("c").distinct(), "c", "left_semi")  # centres all of whose members are connected need nothing
     near = f.drop("rest_f").join(x.drop("rest_x"), "c").filter((F.col("f") != F.col("x")) & allowed(F.lit(0)))
-    exploded = f.withColumn("e", F.explode("rest_f")).drop("rest_f").join(x.withColumn("e", F.explode("rest_x")).drop("rest_x"), ["c", "e"]).filter("f <> x")
-    counted = exploded.groupBy("c", "f", "x").agg(F.count("*").alias("shared"), *[F.first(k).alias(k) for k in ("n_f", "n_x", "both_f", "both_x")])
+    beyond = f.select("c", "f", F.explode("rest_f").alias("e")).join(x.select("c", "x", F.explode("rest_x").alias("e")), ["c", "e"]).filter("f <> x")
+    shared = beyond.groupBy("c", "f", "x").agg(F.count("*").alias("shared"))
+    counted = shared.join(f.drop("rest_f"), ["c", "f"]).join(x.drop("rest_x"), ["c", "x"])
     pairs = near.select("f", "x").union(counted.filter(allowed(F.col("shared"))).select("f", "x"))
     return pairs.select(F.least("f", "x").alias("a"), F.greatest("f", "x").alias("b")).distinct()
 
@@ -427,6 +429,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
     if centres.limit(1).count():
         stars = stars_of(centres, sets)
         links = written(links.union(stars.filter("100 * both >= 80 * (n_a + n_b - both)").select("a", "b")))
+        release(spark)
         links = links.union(links_of(_left_over(stars, components(links)), sets))
         release(spark)
     comp = components(links)
