@@ -23,8 +23,8 @@ sequence is its one shingle; without words the set is empty and linked with noth
    limit is dropped; for the others sets meet in joins and are compared in full. Links become components.
 5. Members of a large group that are not connected with its centre c may still link with others. For such f and any x,
    |f & x| <= min(|f & c|, |x & c|) + |(f - c) & (x - c)|. What members have beyond the centre is small; counting what
-   is shared of it gives the last term by an equi-join, and only pairs that the bound allows are compared. So a large
-   group costs its members and never its pairs, and one round is complete.
+   is shared of it gives the last term by an equi-join, and only pairs that the bound allows are compared. One round is
+   complete. Where many members share what the centre lacks, that join grows with the square of their number.
 
 Texts are read in chunks; step 2 sends hashes of signatures only, and false candidates from hash collisions are
 dropped in step 4. Null text counts as empty. Null doc_id: linked like others, but never the smallest. Empty table:
