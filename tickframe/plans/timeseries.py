@@ -458,7 +458,7 @@ TRACKS = "WITH a AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(
 
 
 def tracks(spark, d) -> DataFrame:
-    v = spark.read.parquet(f"{d}/embeddings.parquet").filter("vec_id % 4 = 0").select("vec_id", F.posexplode("embedding").alias("i", "x"))
+    v = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", F.posexplode("embedding").alias("i", "x"))
     return v.select("vec_id", "i", F.col("x").cast("double").alias("a"), F.lag(F.col("x").cast("double"), 3, 0.0).over(Window.partitionBy("vec_id").orderBy("i")).alias("m"))
 
 
