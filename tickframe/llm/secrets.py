@@ -39,11 +39,12 @@ SENSITIVE = {
 }
 STEMS = ("pass", "pwd", "secret", "token", "key", "cred", "auth", "bearer", "signature", "cookie")
 PLACEHOLDER = re.compile(r"(?i)^(?:x+|\*+|changeme|example|placeholder|none|null|true|false|todo|your[_-].*|<.*>|\$\{.*\}|\{\{.*\}\})$")
-#: name, operator, right side: quoted literals, bare words and names joined by +.
-TERM = r"""(?:"(?:[^"\\\n]|\\.){0,4096}"|'(?:[^'\\\n]|\\.){0,4096}'|[A-Za-z0-9_][A-Za-z0-9+/_.=-]*)"""
+#: name, operator, right side: quoted literals, bare words and names joined by +. A name without them is taken whole too (no
+#: later part of it can begin a pair), so that names and literals of any length are read in linear time.
+TERM = r"""(?:"(?:[^"\\\n]|\\.)*+"|'(?:[^'\\\n]|\\.)*+'|[A-Za-z0-9_][A-Za-z0-9+/_.=-]*+)"""
 PAIR = re.compile(
-    r"""(?a)(?<![A-Za-z0-9_])["']?(?P<name>[A-Za-z_][A-Za-z0-9_.-]{0,63})["']?[\x20\t]*(?P<op>:=|=>|=(?!=)|:(?!:))[\x20\t]*"""
-    rf"""(?P<value>{TERM}(?:[\x20\t]*\+[\x20\t]*{TERM})*)"""
+    r"""(?a)(?<![A-Za-z0-9_])(?:["']?(?P<name>[A-Za-z_][A-Za-z0-9_.-]*+)["']?[\x20\t]*(?P<op>:=|=>|=(?!=)|:(?!:))[\x20\t]*"""
+    rf"""(?P<value>{TERM}(?:[\x20\t]*\+[\x20\t]*{TERM})*+)|[A-Za-z_][A-Za-z0-9_.-]*+)"""
 )
 TERM_RE = re.compile(TERM)
 CAMEL = re.compile(r"(?<=[a-z0-9])(?=[A-Z])")
@@ -83,24 +84,33 @@ def literal_spans(text: str, threshold: float = 0.45) -> list[tuple[int, int, fl
     low = text.lower()
     if not any(s in low for s in STEMS):
         return []
-    known: dict[str, list[tuple[int, int]]] = {}  # what a name holds: spans of literals
-    best: dict[tuple[int, int], float] = {}
+    known: dict[str, int] = {}  # the last pair of each name
+    pairs: list[tuple[list[tuple[int, int]], list[int]]] = []  # literals of a pair, and earlier pairs that it takes up
+    weight: list[float] = []
     for m in PAIR.finditer(text):
-        held: list[tuple[int, int]] = []
+        if not m["name"]:
+            continue
+        held, taken = [], []
         for t in TERM_RE.finditer(text, m.start("value"), m.end("value")):
             raw = t[0]
             if raw[0] in "\"'":
                 held.append((t.start() + 1, t.end() - 1))
             elif raw in known:
-                held += known[raw]
+                taken.append(known[raw])
             else:
                 held.append((t.start(), t.end()))
-        known[m["name"]] = held[:64]
-        weight = sensitivity(m["name"])
-        if weight:
+        known[m["name"]] = len(pairs)
+        pairs.append((held, taken))
+        weight.append(sensitivity(m["name"]))
+    best: dict[tuple[int, int], float] = {}
+    for k in range(len(pairs) - 1, -1, -1):  # a pair takes up earlier ones only, so each is settled when its turn comes
+        held, taken = pairs[k]
+        if weight[k]:
+            for j in taken:
+                weight[j] = max(weight[j], weight[k])
             for span in held:
-                score = weight * randomness(text[span[0] : span[1]])
-                if score > best.get(span, 0.0):
+                score = weight[k] * randomness(text[span[0] : span[1]])
+                if score > 0:
                     best[span] = score
     return sorted((a, b, s) for (a, b), s in best.items() if s >= threshold)
 
