@@ -5,7 +5,7 @@ import string
 
 import pytest
 
-from tickframe.llm import secrets
+from tickframe.llm import quality, secrets
 
 
 def noise(n, seed=1):
@@ -33,3 +33,17 @@ def test_every_literal_of_a_name_is_kept():
     text = "part = " + " + ".join(f'"{x}"' for x in literals) + "\nwhole = part + part\n" + "whole = whole + whole\n" * 100 + "auth_key = whole"
     red = secrets.redact_text(text, secrets.scan_text(text)[1])
     assert red.count("[secret]") == 200 and not any(x in red for x in literals)
+
+
+def test_perplexity_rejects_symbol_laden_texts(spark):
+    def words(k):
+        rng = random.Random(k)
+        return [rng.choice("the river runs past old stone houses and under a narrow bridge where children watch slow boats drift".split()) for _ in range(120)]
+
+    clean = [(k, " ".join(words(k)), "en") for k in range(60)]
+    marked = [(100 + k, " ".join(w + "*$%&"[i % 4] * 3 for i, w in enumerate(words(100 + k))), "en") for k in range(20)]
+    tables = [(200 + k, " | ".join(words(200 + k)), "en") for k in range(20)]
+    df = spark.createDataFrame(clean + marked + tables, "doc_id long, text string, lang string")
+    for limit in (10**9, 0):
+        kept = {r.doc_id for r in quality.quality_report(df, max_broadcast=limit).filter("kept").collect()}
+        assert kept == set(range(60))

@@ -1,7 +1,8 @@
 """Quality rules: base word statistics, and perplexity bands under a Kneser-Ney n-gram model.
 
 Model. n-grams of ORDER UTF-16 units (digits folded to 0, white space to a blank, upper and lower case kept) are
-counted per language over all documents: tasks sort their own n-grams and add them up, Spark adds the sums of tasks.
+counted per language over all documents with at most SYMBOL_SHARE symbols a word (a model that
+has learnt symbol-laden junk finds it probable; such documents are scored like all others): tasks sort their own n-grams and add them up, Spark adds the sums of tasks.
 Lower orders use continuation counts, all orders the three discounts of modified Kneser-Ney, estimated per language
 and order from counts of counts. The finished model holds, per language and order, an array of sorted 64-bit keys
 (the n-gram packed into one word), its log probabilities, and the same for back-off weights of contexts; lookups are
@@ -38,6 +39,7 @@ AT_ONCE = 2_000_000
 BIN = 0.002
 LOWER, UPPER, SHORT = 9.0, 9.0, 500.0
 SYMBOLS = "#*$%&|<>"
+SYMBOL_SHARE = 0.1
 MIN_WORDS = 50
 MASKS = [0, 0xFFFF, 0xFFFFFFFF, 0xFFFFFFFFFFFF, -1]
 
@@ -74,6 +76,13 @@ def base_rules(text: str | None) -> tuple[int, int, int, int, int, bool]:
     return len(words), chars, symbols, len(lines) - len(set(lines)), repeats, len(words) < MIN_WORDS or 100 * repeats > 50 * len(words)
 
 
+def laden(text: str | None) -> bool:
+    """Whether the text has more than SYMBOL_SHARE symbols a word: it does not train the model."""
+    text = text or ""
+    symbols = sum(map(text.count, SYMBOLS))
+    return symbols > 0 and symbols > SYMBOL_SHARE * len(text.encode("utf-8", "surrogatepass").split())
+
+
 # --- n-grams ----------------------------------------------------------------------------------------------------
 
 
@@ -102,7 +111,7 @@ def document_keys(texts: list) -> tuple[np.ndarray, np.ndarray]:
 
 
 def count_grams(docs: DataFrame, lang_col: str = "lang", text_col: str = "text") -> DataFrame:
-    """lang, key, a: how often each n-gram of ORDER units occurs."""
+    """lang, key, a: how often each n-gram of ORDER units occurs in texts that are not symbol-laden."""
 
     def run(batches):
         held: dict[str, list] = {}
@@ -134,6 +143,8 @@ def count_grams(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
         for b in batches:
             for lang, text in zip(b.column(0).to_pylist(), b.column(1)):
                 text = text.as_py()
+                if laden(text):
+                    continue
                 pending.setdefault(lang, []).append(text)
                 sizes[lang] += len(text or "") + ORDER
                 if sizes[lang] >= AT_ONCE // 4:
