@@ -5,7 +5,7 @@ import string
 
 import pytest
 
-from tickframe.llm import quality, secrets
+from tickframe.llm import html_text, quality, secrets
 
 
 def noise(n, seed=1):
@@ -47,3 +47,11 @@ def test_perplexity_rejects_symbol_laden_texts(spark):
     for limit in (10**9, 0):
         kept = {r.doc_id for r in quality.quality_report(df, max_broadcast=limit).filter("kept").collect()}
         assert kept == set(range(60))
+
+
+def test_html_scores_every_path():
+    deep = "<body>" + "".join(f"<div>Block {i} has some words, and a mark. It says more, too." for i in range(600))
+    wide = "<body>" + "".join(f"<x{i}>Block {i} has some words, and a mark. It says more, too.</x{i}>" for i in range(600))
+    for page in (deep, wide):
+        text = html_text.main_text(page)
+        assert [i for i in range(600) if f"Block {i} " not in text] == []

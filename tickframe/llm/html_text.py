@@ -10,8 +10,8 @@ adverts, notices, comments and so on are left out before.
 
 Null or empty html gives an empty text. Broken markup is read as far as it goes: a new paragraph closes an open
 one, end tags without a start are ignored, an unclosed tag is text up to the end. Pages are treated one by one,
-whole, in time proportional to their length (plus the square of the number of distinct paths, which is cut to the
-PATHS most frequent structural forms by dropping classes, never text).
+whole. Every path is scored: paths form a tree whose nodes hold sums of what lies each number of steps below, so the
+smoothing visits FAR steps up and down instead of all pairs; weights beyond FAR steps are below 1e-27.
 """
 
 from __future__ import annotations
@@ -59,7 +59,7 @@ NOISE = frozenset(
 CONTENT = frozenset("article articlebody main content post entry story text body maincontent postcontent entrycontent".split())
 PUNCTUATION = frozenset(".,;:!?…。，、；：！？¿¡\"'“”«»")
 BESIDE = frozenset("h1 h2 h3 h4 h5 h6 blockquote li dd dt pre td th p figcaption summary caption".split())
-PATHS = 400
+FAR = 12
 SPREAD = 1.5
 THRESHOLD = 0.25
 
@@ -173,42 +173,67 @@ def selected(found: list[tuple[tuple[str, ...], str, int]]) -> set[tuple[str, ..
         chars[path] += len(text)
         punct[path] += sum(map(text.count, PUNCTUATION))
         links[path] += linked
-    paths = list(nodes)
-    if len(paths) > PATHS:  # score the forms with most text; the others follow their parents
-        paths = sorted(paths, key=lambda p: -chars[p])[:PATHS]
-
-    def distance(p, q) -> int:
-        k = 0
-        for x, y in zip(p, q):
-            if x != y:
-                break
-            k += 1
-        return len(p) + len(q) - 2 * k
-
-    raw = {p: (chars[p] / nodes[p], punct[p] / nodes[p]) for p in paths}
+    up, depth, at = [-1], [0], {}  # the tree of paths: parent and depth of each node
+    inside = [False]  # of article or main
+    children: dict[tuple[int, str], int] = {}
+    for path in nodes:
+        v = 0
+        for tag in path:
+            w = children.get((v, tag))
+            if w is None:
+                w = children[v, tag] = len(up)
+                up.append(v)
+                depth.append(depth[v] + 1)
+                inside.append(inside[v] or tag in ("article", "main"))
+            v = w
+        at[path] = v
+    below: list[dict[int, list[int]]] = [{} for _ in up]  # by steps down: blocks, characters, punctuation marks
+    for path, v in at.items():
+        for k in range(min(FAR, depth[v]) + 1):
+            sums = below[v].setdefault(k, [0, 0, 0])
+            sums[0] += nodes[path]
+            sums[1] += chars[path]
+            sums[2] += punct[path]
+            v = up[v]
+    weights = [math.exp(-((d / SPREAD) ** 2)) for d in range(FAR + 1)]
+
+    def smoothed(v: int) -> list[float]:
+        """Weighted sums of blocks, characters and punctuation marks of all paths near node v."""
+        near = [[0, 0, 0] for _ in weights]
+        last = -1
+        for j in range(min(FAR, depth[v]) + 1):
+            for k, sums in below[v].items():
+                if j + k <= FAR:
+                    for i in range(3):
+                        near[j + k][i] += sums[i]
+            if last >= 0:  # what lies below the node that we come from is nearer than by way of v
+                for k, sums in below[last].items():
+                    if j + k + 1 <= FAR:
+                        for i in range(3):
+                            near[j + k + 1][i] -= sums[i]
+            last, v = v, up[v]
+        return [sum(w * x[i] for w, x in zip(weights, near)) for i in range(3)]
+
     score = {}
-    for p in paths:
-        total = tpr = ppr = 0.0
-        for q in paths:
-            w = math.exp(-((distance(p, q) / SPREAD) ** 2)) * nodes[q]
-            total += w
-            tpr += w * raw[q][0]
-            ppr += w * raw[q][1]
-        inner = any(s in ("article", "main") for s in p)
-        score[p] = math.sqrt(tpr / total * (1 + ppr / total)) * (1 - links[p] / max(chars[p], 1)) * (2.0 if inner else 1.0) * math.log1p(chars[p])
+    for p, v in at.items():
+        total, tpr, ppr = smoothed(v)
+        score[p] = math.sqrt(tpr / total * (1 + ppr / total)) * (1 - links[p] / max(chars[p], 1)) * (2.0 if inside[v] else 1.0) * math.log1p(chars[p])
     if not score:
         return set()
     mean = sum(score.values()) / len(score)
     spread = math.sqrt(sum((s - mean) ** 2 for s in score.values()) / len(score))
     least = max(THRESHOLD * max(score.values()), THRESHOLD * spread)
-    kept = {p for p in paths if score[p] >= least and links[p] <= 0.5 * chars[p]}
-    articles = [p for p in kept if "article" in p or "main" in p]
+    kept = {p for p in nodes if score[p] >= least and links[p] <= 0.5 * chars[p]}
+    articles = [p for p in kept if inside[at[p]]]
     if articles:  # the article's own paths, if there is one with content
         kept = set(articles)
-    parents = {p[:-1] for p in kept}
-    for p in nodes:
-        beside = p and p[-1] in BESIDE and any(p[: len(parent)] == parent and len(parent) > 0 for parent in parents)
-        if (beside or p in parents) and links[p] <= 0.5 * chars[p] and (not articles or "article" in p or "main" in p):
+    parents = {max(up[at[p]], 0) for p in kept}
+    under = [False] * len(up)  # whether a node or one above it, other than the root, is a parent of content
+    for v in range(1, len(up)):
+        under[v] = v in parents or under[up[v]]
+    for p, v in at.items():
+        beside = p and p[-1] in BESIDE and under[v]
+        if (beside or v in parents) and links[p] <= 0.5 * chars[p] and (not articles or inside[v]):
             kept.add(p)
     return kept
 
