@@ -5,7 +5,7 @@ import string
 
 import pytest
 
-from tickframe.llm import html_text, quality, secrets
+from tickframe.llm import html_text, jaccard_join, quality, secrets
 
 
 def noise(n, seed=1):
@@ -55,3 +55,20 @@ def test_html_scores_every_path():
     for page in (deep, wide):
         text = html_text.main_text(page)
         assert [i for i in range(600) if f"Block {i} " not in text] == []
+
+
+def test_keep_one_decides_by_row(spark):
+    def text(seed, changed=None):
+        rng = random.Random(seed)
+        words = [f"w{rng.randrange(10_000)}" for _ in range(300)]
+        if changed:
+            words[150] = changed
+        return " ".join(words)
+
+    rows = [(5, text(1))] * 4 + [(6, text(1, "x")), (None, text(1, "y")), (None, text(2)), (None, ""), (7, None), (7, None)]
+    rows += [(8, text(3)), (8, ""), (9, text(3, "z")), (9, text(4)), (None, text(5)), (None, text(5, "x"))]
+    got = jaccard_join.keep_one(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert len(got) == 8  # components 1 to 5, and the rows without words: null, 7 (once), 8
+    assert sum(r.doc_id == 5 for r in got) == 1 and not any(r.doc_id == 6 for r in got)
+    assert sorted((r.doc_id, r.text or "") for r in got if r.doc_id) == sorted([(5, text(1)), (7, ""), (8, text(3)), (8, ""), (9, text(4))])
+    assert {r.text for r in got if r.doc_id is None} - {text(5), text(5, "x")} == {text(2), ""}

@@ -453,9 +453,16 @@ def link_report(docs: DataFrame) -> DataFrame:
 def keep_one(docs: DataFrame) -> DataFrame:
     """The rows of docs without those linked, over any number of links, to a document with a smaller id.
 
-    Rows with equal ids in one component count as copies of one document: one of them stays.
+    Exactly one row of each component stays: the one with the least id, null ids last. Rows with equal ids in one component
+    count as copies of one document. Rows without words are linked with nothing; of those, only exact repeats with an id go.
     """
     names = docs.columns
-    stay = link_documents(docs).filter("n_shingles = 0 or doc_id <=> component_id").select(F.col("doc_id").alias("_id")).distinct()
-    kept = docs.join(stay, F.col("doc_id").eqNullSafe(F.col("_id")), "left_semi")
-    return kept.select(*names)
+    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()))
+    linked = link_documents(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "n_shingles", "component_id")
+    ids = rows.select("_row", "doc_id", F.when(F.col("doc_id").isNotNull(), F.sha2(F.coalesce("text", F.lit("")), 256)).alias("_text")).join(linked, "_row")
+    first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_row")
+    worded = ids.filter("n_shingles > 0").groupBy("component_id").agg(first).select("_row")
+    empty = ids.filter("n_shingles = 0")
+    stay = worded.union(empty.filter("doc_id is not null").groupBy("doc_id", "_text").agg(first).select("_row"))
+    stay = stay.union(empty.filter("doc_id is null").select("_row"))
+    return rows.join(stay, "_row", "left_semi").select(*names)
