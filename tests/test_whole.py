@@ -2,6 +2,7 @@
 
 import numpy as np
 
+from tickframe.operators import repair
 from tickframe.plans import registry
 
 
@@ -15,3 +16,19 @@ def test_lag_scan_covers_every_track(spark, small):
         scores = {k: float(np.mean(a[k:] * m[: len(m) - k] if k >= 0 else a[:k] * m[-k:])) for k in range(-12, 13)}
         best = min(scores, key=lambda k: (-round(abs(scores[k]), 9), k))
         assert got[r.vec_id][0] == best and abs(got[r.vec_id][1] - scores[best]) < 2e-6
+
+
+def test_clock_offset_both_ways(spark, small):
+    t = np.cumsum(np.random.default_rng(1).integers(5_000, 90_000, 1000)).tolist()
+    drift = t[:500] + [u + 5_000 for u in t[500:]]
+    rows = [(1, t[7:], t), (2, t, t[7:]), (3, drift, t), (4, t[:30], t), (5, t, [u + 10**9 for u in t[:400]])]
+    got = repair.clock_offset(spark.createDataFrame(rows, "k long, a array<long>, b array<long>"), "k")
+    assert {r.k: (r.offset, r.prefix) for r in got.collect()} == {1: (7, 992), 2: (-7, 992), 3: (None, None), 4: (None, None), 5: (0, 399)}
+
+
+def test_clock_offset_aligns_whole_clocks(spark, small):
+    n = {r.session_id: r.n for r in registry.queries()["times_from_clock"](spark, small).groupBy("session_id").agg({"*": "count"}).toDF("session_id", "n").collect()}
+    got = registry.queries()["clock_offset"](spark, small).collect()
+    assert len(got) == len(n)
+    for r in got:
+        assert (r.offset, r.prefix) == ((3, n[r.session_id] - 4) if n[r.session_id] >= 54 else (None, None))

@@ -49,10 +49,11 @@ def newest_pressed(events: DataFrame, keys: list[str]) -> DataFrame:
     return events.select(*keys, "seq", "t", "token", "kind").groupBy(*keys).applyInPandas(fold, f"{fields}, seq long, holder string")
 
 
-def clock_offset(pairs: DataFrame, key: str, probe: int = 400, tolerance: int = 1000) -> DataFrame:
-    """key, offset, prefix: the one place in clock b where the first steps of clock a fit, and how many steps fit from there; null if none or several do.
+def clock_offset(pairs: DataFrame, key: str, probe: int = 400, tolerance: int = 1000, least: int = 50) -> DataFrame:
+    """key, offset, prefix: the one place in clock b where clock a begins, below 0 if b begins later, and how many steps fit from there.
 
-    pairs: key, a, b, arrays of times of a pair of recordings; one pair is one row.
+    The first steps of the overlap must fit, probe of them or all, least at the least, and the times 99 % of it without a break;
+    null if no place or several do. pairs: key, a, b, arrays of times of a pair of recordings; one pair is one row.
     """
     import numpy as np
 
@@ -62,16 +63,20 @@ def clock_offset(pairs: DataFrame, key: str, probe: int = 400, tolerance: int =
         for pdf in batches:
             out = []
             for k, a, b in zip(pdf[key], pdf["a"], pdf["b"]):
-                x, y = np.diff(np.asarray(a, float)), np.diff(np.asarray(b, float))
-                n = min(probe, len(x))
-                fits = [s for s in range(len(y) - n + 1) if n and np.all(np.abs(y[s : s + n] - x[:n]) <= tolerance)]
-                if len(fits) != 1:
-                    out.append((k, None, None))
-                    continue
-                s = fits[0]
-                m = min(len(x), len(y) - s)
-                bad = np.flatnonzero(np.abs(y[s : s + m] - x[:m]) > tolerance)
-                out.append((k, s, int(bad[0]) if len(bad) else m))
+                a, b = np.asarray(a, float), np.asarray(b, float)
+                x, y = np.diff(a), np.diff(b)
+                fits = []
+                for s in range(-(len(a) - least) + 1, len(b) - least):
+                    i, j = max(0, -s), max(0, s)
+                    n = min(probe, len(x) - i, len(y) - j)
+                    if n < least or np.any(np.abs(x[i : i + n] - y[j : j + n]) > tolerance):
+                        continue
+                    m = min(len(a) - i, len(b) - j)
+                    bad = np.flatnonzero(np.abs((a[i : i + m] - a[i]) - (b[j : j + m] - b[j])) > tolerance)
+                    good = int(bad[0]) if len(bad) else m
+                    if good >= 0.99 * m:
+                        fits.append((s, good - 1))
+                out.append((k, *fits[0]) if len(fits) == 1 else (k, None, None))
             yield pd.DataFrame(out, columns=[key, "offset", "prefix"]).astype({"offset": "Int64", "prefix": "Int64"})
 
     return pairs.select(key, "a", "b").mapInPandas(run, f"{key} {kind}, offset long, prefix long")

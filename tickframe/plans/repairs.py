@@ -54,7 +54,7 @@ def _(spark, d):
 def _(spark, d):
     a = F.transform(F.sort_array(F.collect_list(F.struct("frame_id", "pts_us"))), lambda x: x.pts_us)
     c = clock(spark, d).groupBy("session_id").agg(a.alias("b"))
-    return repair.clock_offset(c.select("session_id", F.slice("b", 4, 40).alias("a"), "b"), "session_id", probe=20)
+    return repair.clock_offset(c.select("session_id", F.expr("slice(b, 4, greatest(size(b) - 3, 0))").alias("a"), "b"), "session_id")
 
 
 @query("paid_matches", f"{TREE}, pd AS (SELECT ro.root, se.session_id, cents + CASE WHEN session_id % 50 = 0 THEN 500 ELSE 60 END AS cents FROM se JOIN ro ON ro.node = se.session_id WHERE session_id % 3 = 0) SELECT root, bool_and(state = 'DELIVERED' AND abs(se.cents - pd.cents) <= 100) AS whole FROM pd JOIN se USING (session_id) GROUP BY 1")
