@@ -3,9 +3,10 @@
 import random
 import string
 
+import numpy as np
 import pytest
 
-from tickframe.llm import html_text, jaccard_join, quality, secrets
+from tickframe.llm import html_text, jaccard_join, quality, secrets, vector_search
 
 
 def noise(n, seed=1):
@@ -72,3 +73,16 @@ def test_keep_one_decides_by_row(spark):
     assert sum(r.doc_id == 5 for r in got) == 1 and not any(r.doc_id == 6 for r in got)
     assert sorted((r.doc_id, r.text or "") for r in got if r.doc_id) == sorted([(5, text(1)), (7, ""), (8, text(3)), (8, ""), (9, text(4))])
     assert {r.text for r in got if r.doc_id is None} - {text(5), text(5, "x")} == {text(2), ""}
+
+
+def test_repeated_query_rows_ask_once(spark):
+    x = np.random.default_rng(3).normal(size=(60, 8)).round(3)
+    rows = [(i, v) for i, v in enumerate(x.tolist())] + [(20, x[20].tolist())] * 4 + [(7, x[0].tolist())] * 25
+    got = {}
+    for r in vector_search.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), probe_share=1.0).orderBy("query_id", "rank").collect():
+        got.setdefault(r.query_id, []).append((r.rank, r.vec_id))
+    for q, v in {0: x[0], 20: x[20]}.items():
+        others = rows.copy()
+        others.remove((q, v.tolist()))
+        want = sorted((-round(float(np.dot(v, w)), 9), i) for i, w in others)[:20]
+        assert got[q] == [(k, i) for k, (_, i) in enumerate(want, 1)]

@@ -18,7 +18,8 @@ computed once a query: never below the distance that is looked for. What survive
 original vectors in double precision; parts pass on their TOP + 1 classes for each query.
 
 Vectors that are null, zero, of another length than most, or that hold null or non-finite components take no part. A
-null id takes no part. Repeated rows are candidates each. Tables with fewer candidates than TOP return them all.
+null id takes no part. Repeated rows are candidates each, and ask once. One id with
+different vectors is not supported: where it is the least of both, their classes get the same number. Tables with fewer candidates than TOP return them all.
 """
 
 from __future__ import annotations
@@ -181,7 +182,7 @@ def nearest(vectors: DataFrame, every: int = 20, probe_share: float = PROBE_SHAR
     sizes = {r["block"]: r["count"] for r in placed.groupBy(block.alias("block")).count().collect()}  # at most MAX_LISTS / LISTS_IN_BLOCK rows
     parts = F.create_map(*[F.lit(x).cast("int") for k, c in sizes.items() for x in (k, -(-c // PART_ROWS))])
     data = placed.withColumn("block", block).withColumn("part", F.pmod(F.xxhash64("cid"), F.element_at(parts, F.col("block"))).cast("int"))
-    asking = written(rows.filter(F.pmod("vec_id", F.lit(every)) == 0).join(classes.select("cid", "v"), "v").select("vec_id", "cid"))
+    asking = written(rows.filter(F.pmod("vec_id", F.lit(every)) == 0).join(classes.select("cid", "v"), "v").select("vec_id", "cid").distinct())
     wanted = classes.select("cid", "v").join(asking.select("cid").distinct(), "cid")
 
     def probe(batches):
@@ -223,12 +224,14 @@ def nearest(vectors: DataFrame, every: int = 20, probe_share: float = PROBE_SHAR
     hits = data.select(*keys, "list", "cid", "v").groupBy(*keys).cogroup(probing.select(*keys, "cid", "v", "lists", "bound").groupBy(*keys)).applyInArrow(search, "query long, cid long, score double")
     best = Window.partitionBy("query").orderBy(F.desc("score"), "cid")
     hits = hits.withColumn("r", F.row_number().over(best)).filter(F.col("r") <= top + 1)
-    named = hits.join(classes.select("cid", "ids"), "cid").select("query", "score", F.explode("ids").alias("vec_id"))
+    named = hits.join(classes.select("cid", "ids"), "cid").select("query", "score", F.col("cid").alias("found"), F.explode("ids").alias("vec_id"))
     ranked = Window.partitionBy("query").orderBy(F.desc("score"), "vec_id")
     named = named.withColumn("r", F.row_number().over(ranked)).filter(F.col("r") <= top + 1)
     # the query's own row is dropped once; rows that repeat its id are not its own
     asked = asking.select(F.col("vec_id").alias("query_id"), "cid")
-    pairs = asked.join(named.select(F.col("query").alias("cid"), "score", "vec_id"), "cid")
-    pairs = pairs.filter(F.col("vec_id") != F.col("query_id"))
-    last = Window.partitionBy("query_id").orderBy(F.desc("score"), "vec_id")
+    pairs = asked.join(named.select(F.col("query").alias("cid"), "score", "found", "vec_id"), "cid")
+    pairs = pairs.withColumn("own", (F.col("vec_id") == F.col("query_id")) & (F.col("found") == F.col("cid")))
+    pairs = pairs.withColumn("nth", F.row_number().over(Window.partitionBy("query_id", "cid", "own").orderBy("vec_id")))
+    pairs = pairs.filter(~(F.col("own") & (F.col("nth") == 1)))
+    last = Window.partitionBy("query_id", "cid").orderBy(F.desc("score"), "vec_id")
     return pairs.withColumn("rank", F.row_number().over(last)).filter(F.col("rank") <= top).select("query_id", F.col("rank").cast("int"), "vec_id", "score")
