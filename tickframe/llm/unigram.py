@@ -42,8 +42,6 @@ class Vocabulary:
         if any("\n" in p or SPACE in p.lstrip(SPACE) for p in self.pieces):
             raise ValueError("a piece crosses pre-tokens")
         self.text = {i: p.replace(SPACE, " ") for p, (i, _) in self.pieces.items()}
-        #: Endings of pieces: a substring outside this set ends no piece, nor does any longer one.
-        self.endings = {p[k:] for p in self.pieces for k in range(len(p))}
 
     def byte_count(self, ch: str) -> int:
         return len(ch.encode("utf-8", "surrogatepass")) if self.bytes else 1
@@ -51,6 +49,15 @@ class Vocabulary:
     def byte_ids(self, ch: str) -> list[int]:
         return [self.bytes[b] for b in ch.encode("utf-8", "surrogatepass")] if self.bytes else [self.unknown_id]
 
+    def spellings(self) -> list[bytes]:
+        """The bytes of each id."""
+        out = [b""] * (max([*self.text, *self.bytes.values(), self.unknown_id]) + 1)
+        for i, text in self.text.items():
+            out[i] = text.encode("utf-8", "surrogatepass")
+        for b, i in self.bytes.items():
+            out[i] = bytes([b])
+        return out
+
     def decode(self, ids) -> str:
         """Text of token ids; the leading space that encoding adds is taken off."""
         out, run = [], bytearray()
