@@ -128,3 +128,38 @@ def sliding_min(v: np.ndarray, width: int) -> np.ndarray:
         m = np.minimum(m[: len(m) - have], m[have:])
         have *= 2
     return np.minimum(m[: len(v) - width + 1], m[width - have : width - have + len(v) - width + 1]) if have < width else m
+
+
+#: Modulus and base of two polynomial hashes; prime, since modulo a power of two words of a known pattern collide for every base.
+_PRIME = [((1 << 31) - 1, 1_364_052_193), ((1 << 31) - 19, 1_871_209_801)]
+_PRIME_POWERS: dict[int, list[np.ndarray]] = {}
+
+
+def _prime_powers(p: int, base: int, n: int) -> list[np.ndarray]:
+    """base ** i and its inverse modulo p, for i below n."""
+    held = _PRIME_POWERS.get(p)
+    if held is None or len(held[0]) < n:
+        size, held = max(n, 1 << 16), []
+        for v in (base, pow(base, -1, p)):
+            out = np.ones(size, np.uint32)
+            have, step = 1, v
+            while have < size:
+                out[have : 2 * have] = out[: min(have, size - have)].astype(_U) * _U(step) % _U(p)
+                have, step = 2 * have, step * step % p
+            held.append(out)
+        _PRIME_POWERS[p] = held
+    return held
+
+
+def word_hashes(data: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+    """Hashes of data[begin:end], from 62 bits and the length."""
+    n, out = len(data), np.zeros(len(begin), _U)
+    for p, base in _PRIME:
+        pw, inv = _prime_powers(p, base, n + 1)
+        term = (data.astype(_U) + _U(1)) * pw[:n]  # below 2 ** 40
+        if n > 1 << 23:
+            term %= _U(p)
+        sums = np.zeros(n + 1, _U)
+        np.cumsum(term, out=sums[1:])
+        out = (out << _U(31)) | ((sums[end] - sums[begin]) % _U(p) * inv[begin] % _U(p))
+    return mixed(out + (end - begin).astype(_U) * _U(0x632BE59BD9B4E019))

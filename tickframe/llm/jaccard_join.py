@@ -21,13 +21,16 @@ sequence is its one shingle; without words the set is empty and linked with noth
    was copied and changed.
 4. Sets of candidates are stored once. A pair whose size or histogram of BINS hashed bins bounds its similarity below the
    limit is dropped; for the others sets meet in joins and are compared in full. Links become components.
-5. Members of a large group that are not connected with its centre c may still link with others. For such f and any x,
-   |f & x| <= min(|f & c|, |x & c|) + |(f - c) & (x - c)|. What members have beyond the centre is small; counting what
-   is shared of it gives the last term by an equi-join, and only pairs that the bound allows are compared. One round is
-   complete. Where many members share what the centre lacks, that join grows with the square of their number.
+5. Large groups whose centres are alike make a cluster. Its pivot holds the elements that more than half of the members
+   have; d counts in how many elements a member differs from it. Members f and x differ in d_f + d_x - 2 s elements, where
+   s counts the differences from the pivot that both have, and link when 9 times that is at most n_f + n_x. All pairs that link
+   with s = 0 hang together over the member with the least 9 d - n, whose star is compared in full. What is left are pairs
+   of a member f that is not connected with it, and s > 0: differences meet in blocks of FAR by NEAR members through an inverted
+   index, and a block answers with the edges of a spanning forest. That is complete; work in a cluster grows with the number
+   of members that link with few others, times all, but memory does not, nor does what is sent but for copies of the blocks.
 
 Texts are read in chunks; step 2 sends hashes of signatures only, and false candidates from hash collisions are
-dropped in step 4. Null text counts as empty. Null doc_id: linked like others, but never the smallest. Empty table:
+dropped in step 4. Shingles are compared by hashes of 62 bits. Null text counts as empty. Null doc_id: linked like others, but never the smallest. Empty table:
 no rows. Further columns are ignored. Intermediate results lie in the shared folder.
 """
 
@@ -35,10 +38,11 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.chunks import NO_ID, Chunk, expand, mixed, pack, prefix_sums, span_hashes, squeeze
+from tickframe.llm.chunks import NO_ID, Chunk, expand, mixed, pack, squeeze, word_hashes
 from tickframe.llm.common import drop_written, release, written
 
 SHINGLE = 5
@@ -85,7 +89,7 @@ def shingles(c: Chunk) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
             begin = np.flatnonzero(word & (apart | np.append(True, ~word[:-1])))
             end = np.flatnonzero(word & np.append(apart[1:] | ~word[1:], True)) + 1
             if len(begin):
-                h = span_hashes(prefix_sums(text), begin, end)
+                h = word_hashes(text, begin, end)
                 wd = doc[begin]
                 if len(h) >= SHINGLE:
                     n = len(h) - SHINGLE + 1
@@ -320,41 +324,142 @@ def links_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:
 
 
 def _compare(batches):
-    """For (a, b) with their sets: sizes, common elements, and what b has beyond a."""
+    """For (a, b) with their sets: sizes and common elements."""
     for batch in batches:
-        out = {"a": batch.column(0).to_pylist(), "b": batch.column(1).to_pylist(), "n_a": [], "n_b": [], "both": [], "rest": []}
+        a, b = batch.column(0), batch.column(1)
+        out = []
         for x, y in zip(batch.column(2), batch.column(3)):
             x, y = _elements(x.as_py()), _elements(y.as_py())
-            at = np.minimum(np.searchsorted(x, y), max(len(x) - 1, 0))
-            rest = y[x[at] != y] if len(x) else y
-            for name, v in (("n_a", len(x)), ("n_b", len(y)), ("both", len(y) - len(rest)), ("rest", rest.astype(np.int64))):
-                out[name].append(v)
-        kinds = {"a": pa.int64(), "b": pa.int64(), "n_a": pa.int64(), "n_b": pa.int64(), "both": pa.int64(), "rest": pa.list_(pa.int64())}
-        yield pa.RecordBatch.from_arrays([pa.array(out[c], t) for c, t in kinds.items()], names=list(kinds))
+            out.append((len(x), len(y), len(x) + len(y) - len(np.unique(np.concatenate([x, y])))))
+        n_a, n_b, both = zip(*out) if out else ((), (), ())
+        yield pa.RecordBatch.from_arrays([a, b, pa.array(n_a, pa.int64()), pa.array(n_b, pa.int64()), pa.array(both, pa.int64())], names=["a", "b", "n_a", "n_b", "both"])
 
 
 def stars_of(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """a, b, n_a, n_b, both, rest of centres a and members b, in the shared folder."""
+    """a, b, n_a, n_b, both of centres a and members b, in the shared folder."""
     one = lambda x: sets.select(F.col("gid").alias(x), F.col("elements").alias(f"e_{x}"))
     met = pairs.join(one("b"), "b").join(one("a"), "a").select("a", "b", "e_a", "e_b")
-    return written(met.mapInArrow(_compare, "a long, b long, n_a long, n_b long, both long, rest array<bigint>"))
+    return written(met.mapInArrow(_compare, "a long, b long, n_a long, n_b long, both long"))
 
 
-def _left_over(stars: DataFrame, comp: DataFrame) -> DataFrame:
-    """Step 5: the pairs (a, b) that the bound allows, of members that are not connected with their centre and any others."""
+def _count(batches):
+    """(cluster, elements) as (cluster, e, times), added up in batches."""
+    for batch in batches:
+        held: dict[int, list[np.ndarray]] = {}
+        for c, x in zip(batch.column(0).to_pylist(), batch.column(1)):
+            held.setdefault(c, []).append(_elements(x.as_py()))
+        for c, sets in held.items():
+            e, n = np.unique(np.concatenate(sets), return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(e), c)), pa.array(e.view(np.int64)), pa.array(n.astype(np.int64))], names=["cluster", "e", "times"])
+
+
+def _differ(batches):
+    """(cluster, gid, elements, pivot) as (cluster, gid, w, apart): the elements that one of set and pivot has, and 9 d - n."""
+    for batch in batches:
+        w, apart = [], []
+        for x, pivot in zip(batch.column(2), batch.column(3)):
+            x = _elements(x.as_py()).view(np.int64)
+            d = np.setxor1d(x, np.array(pivot.as_py() or [], np.int64))
+            w.append(9 * len(d) - len(x))
+            apart.append(d)
+        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(w, pa.int64()), pa.array(apart, pa.list_(pa.int64()))], names=["cluster", "gid", "w", "apart"])
+
+
+APART = "cluster long, gid long, w long, apart array<bigint>"
+
+
+def clusters_of(stars: DataFrame, sets: DataFrame) -> DataFrame:
+    """cluster, gid, w, apart of the members of large groups, in the shared folder; a member may be in several clusters."""
+    centres = stars.select(F.col("a").alias("b")).distinct()
+    alike = components(stars.filter("2 * both >= greatest(n_a, n_b)").join(centres, "b", "left_semi").select("a", "b"))
+    cluster = lambda c: F.coalesce("root", c).alias("cluster")
+    members = stars.join(alike, F.col("a") == F.col("node"), "left").select(cluster("a"), F.col("b").alias("gid"))
+    members = members.union(centres.join(alike, F.col("b") == F.col("node"), "left").select(cluster("b"), F.col("b").alias("gid"))).distinct()
+    held = written(members.join(sets.select("gid", "elements"), "gid").select("cluster", "gid", "elements"))
+    size = held.groupBy("cluster").agg(F.count("*").alias("size"))
+    times = held.select("cluster", "elements").mapInArrow(_count, "cluster long, e long, times long").groupBy("cluster", "e").agg(F.sum("times").alias("times"))
+    pivot = times.join(size, "cluster").filter("2 * times > size").groupBy("cluster").agg(F.collect_list("e").alias("pivot"))
+    out = written(held.join(pivot, "cluster", "left").select("cluster", "gid", "elements", "pivot").mapInArrow(_differ, APART))
+    drop_written(held)
+    return out
+
+
+def _star(batches):
+    """(least, w, apart, gid, w, apart) as links (a, b) of a cluster's least member."""
+    for batch in batches:
+        a, b = batch.column(0).to_pylist(), batch.column(3).to_pylist()
+        keep, last, held = [], None, None
+        for k, (x, y, u, v) in enumerate(zip(a, b, batch.column(1).to_pylist(), batch.column(4).to_pylist())):
+            if x != last:
+                last, held = x, batch.column(2)[k].values.to_numpy()
+            both = len(np.intersect1d(held, batch.column(5)[k].values.to_numpy(), assume_unique=True))
+            keep.append(x != y and u + v <= 18 * both)
+        keep = pa.array(keep, pa.bool_())
+        yield pa.RecordBatch.from_arrays([batch.column(0).filter(keep), batch.column(3).filter(keep)], names=["a", "b"])
+
+
+#: Members in a block, about.
+FAR, NEAR = 512, 2048
+#: Common differences counted at a time.
+MATCHES = 4_000_000
+
+
+def _lists(t: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """gid, w, and the elements of all lists with the row of each."""
+    lists = t["apart"].combine_chunks()
+    lists = lists.chunk(0) if isinstance(lists, pa.ChunkedArray) else lists
+    n = pc.fill_null(pc.list_value_length(lists), 0).to_numpy()
+    return t["gid"].to_numpy(), t["w"].to_numpy(), lists.flatten().to_numpy(), np.repeat(np.arange(len(n)), n)
+
+
+def _meet(left: pa.Table, right: pa.Table) -> pa.Table:
+    """Spanning edges of the links between a block of members that are apart and a block of all, by their differences from the pivot."""
+    if not len(left) or not len(right):
+        return pa.table({"a": pa.array([], pa.int64()), "b": pa.array([], pa.int64())})
+    f_gid, f_w, f_e, f_row = _lists(left)
+    x_gid, x_w, x_e, x_row = _lists(right)
+    order = np.argsort(f_e, kind="stable")
+    f_e, f_row = f_e[order], f_row[order]
+    lo, hi = np.searchsorted(f_e, x_e), np.searchsorted(f_e, x_e, side="right")
+    n = hi - lo
+    found_f, found_x, i, ends = [], [], 0, np.cumsum(n)
+    while i < len(x_e):  # whole rows of the right side
+        j = int(np.searchsorted(ends, (ends[i - 1] if i else 0) + MATCHES, side="right"))
+        j = int(np.searchsorted(x_row, x_row[min(max(j, i), len(x_e) - 1)])) if j < len(x_e) else len(x_e)
+        j = j if j > i else int(np.searchsorted(x_row, x_row[i], side="right"))
+        part = n[i:j]
+        at = np.arange(int(part.sum())) + np.repeat(lo[i:j] - np.cumsum(part) + part, part)
+        key, both = np.unique(np.repeat(x_row[i:j], part) * len(f_gid) + f_row[at], return_counts=True)
+        x, f = key // len(f_gid), key % len(f_gid)
+        link = (f_w[f] + x_w[x] <= 18 * both) & (f_gid[f] != x_gid[x])
+        found_f.append(f_gid[f[link]])
+        found_x.append(x_gid[x[link]])
+        i = j
+    edges = pa.table({"a": np.concatenate(found_f) if found_f else np.zeros(0, np.int64), "b": np.concatenate(found_x) if found_x else np.zeros(0, np.int64)})
+    (forest,) = _forest(edges.to_batches())
+    return pa.table({"a": forest.column(0), "b": forest.column(1)})
+
+
+def _left_over(stars: DataFrame, links: DataFrame, sets: DataFrame) -> DataFrame:
+    """Step 5: links (a, b), in the shared folder, that with those given connect all members of large groups that links connect."""
+    members = clusters_of(stars, sets)
+    least = members.groupBy("cluster").agg(F.min(F.struct("w", "gid")).alias("l")).select("cluster", F.col("l.gid").alias("least"))
+    centre = members.join(least, "cluster").filter("gid = least").select("cluster", "least", F.col("w").alias("w_l"), F.col("apart").alias("apart_l"))
+    spokes = written(members.join(centre, "cluster").select("least", "w_l", "apart_l", "gid", "w", "apart").mapInArrow(_star, "a long, b long"))
+    comp = components(links.union(spokes))
+    root = lambda c: F.coalesce(f"root_{c}", c)
     at = lambda c: comp.select(F.col("node").alias(f"_{c}"), F.col("root").alias(f"root_{c}"))
-    placed = stars.join(at("a"), F.col("a") == F.col("_a"), "left").join(at("b"), F.col("b") == F.col("_b"), "left")
-    outside = placed.filter(F.coalesce("root_a", "a") != F.coalesce("root_b", "b"))
-    f = outside.select(F.col("a").alias("c"), F.col("b").alias("f"), F.col("n_b").alias("n_f"), F.col("both").alias("both_f"), F.col("rest").alias("rest_f"))
-    x = stars.select(F.col("a").alias("c"), F.col("b").alias("x"), F.col("n_b").alias("n_x"), F.col("both").alias("both_x"), F.col("rest").alias("rest_x"))
-    allowed = lambda shared: 9 * (F.least("both_f", "both_x") + shared) >= 4 * (F.col("n_f") + F.col("n_x"))
-    x = x.join(f.select("c").distinct(), "c", "left_semi")  # centres all of whose members are connected need nothing
-    near = f.drop("rest_f").join(x.drop("rest_x"), "c").filter((F.col("f") != F.col("x")) & allowed(F.lit(0)))
-    beyond = f.select("c", "f", F.explode("rest_f").alias("e")).join(x.select("c", "x", F.explode("rest_x").alias("e")), ["c", "e"]).filter("f <> x")
-    shared = beyond.groupBy("c", "f", "x").agg(F.count("*").alias("shared"))
-    counted = shared.join(f.drop("rest_f"), ["c", "f"]).join(x.drop("rest_x"), ["c", "x"])
-    pairs = near.select("f", "x").union(counted.filter(allowed(F.col("shared"))).select("f", "x"))
-    return pairs.select(F.least("f", "x").alias("a"), F.greatest("f", "x").alias("b")).distinct()
+    placed = members.select("cluster", "gid").join(least, "cluster")
+    placed = placed.join(at("gid"), F.col("gid") == F.col("_gid"), "left").join(at("least"), F.col("least") == F.col("_least"), "left")
+    far = written(members.join(placed.filter(root("gid") != root("least")).select("cluster", "gid"), ["cluster", "gid"], "left_semi"))
+    count = lambda rows, size, name: rows.groupBy("cluster").agg(F.ceil(F.count("*") / size).cast("int").alias(name))
+    blocks = count(far, FAR, "n_f").join(count(members, NEAR, "n_x"), "cluster")
+    own = lambda n: F.pmod(F.xxhash64("gid"), n).cast("int")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    left = far.join(blocks, "cluster").select("cluster", own(F.col("n_f")).alias("f"), every("n_x").alias("x"), "gid", "w", "apart")
+    right = members.join(blocks, "cluster").select("cluster", own(F.col("n_x")).alias("x"), every("n_f").alias("f"), "gid", "w", "apart")
+    met = left.groupBy("cluster", "f", "x").cogroup(right.groupBy("cluster", "f", "x")).applyInArrow(_meet, "a long, b long")
+    return written(spokes.union(met))
 
 
 def _forest(batches):
@@ -430,7 +535,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
         stars = stars_of(centres, sets)
         links = written(links.union(stars.filter("100 * both >= 80 * (n_a + n_b - both)").select("a", "b")))
         release(spark)
-        links = links.union(links_of(_left_over(stars, components(links)), sets))
+        links = links.union(_left_over(stars, links, sets))
         release(spark)
     comp = components(links)
     return _named(documents, by_class, comp)
