@@ -518,7 +518,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
     frequent = described.filter("kind = 1").groupBy("gid").agg(F.sum("n").alias("df")).filter(F.col("df") >= HEAVY_IN_ALL).orderBy(F.desc("df"), "gid").limit(HEAVY)
     heavy = spark.sparkContext.broadcast(np.sort(frequent.select("gid").toArrow()["gid"].to_numpy().astype(np.int64).view(_U)))
     # one document of each class of equal sets: the one with the least id
-    by_class = documents.filter("n > 0").groupBy("one", "two", "n").agg(F.min(F.struct("doc_id", "gid"))["gid"].alias("rep"))
+    by_class = documents.filter("n > 0").groupBy("one", "two", "n").agg(F.min(F.struct("doc_id", "gid")).alias("first")).select("one", "two", "n", F.col("first.gid").alias("rep"), F.col("first.doc_id").alias("least"))
     reps = by_class.select(F.col("rep").alias("gid")).withColumn("chunk_id", F.shiftright("gid", 20))
     total = documents.agg(F.sum("n").alias("n")).first()["n"] or 0
     buckets = max(8, min(4096, int(total * 0.7 / BUCKET_SIGNATURES) + 1))
@@ -542,10 +542,10 @@ def link_documents(docs: DataFrame) -> DataFrame:
 
 
 def _named(documents: DataFrame, by_class: DataFrame, comp: DataFrame) -> DataFrame:
-    rooted = by_class.join(comp, F.col("rep") == F.col("node"), "left").select("one", "two", "n", F.coalesce("root", "rep").alias("root"))
-    placed = documents.filter("n > 0").join(rooted, ["one", "two", "n"]).select("doc_id", "n", "root")
-    least = placed.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    out = placed.join(least, "root").select("doc_id", "n", "component_id")
+    """Components are named class by class; documents, of which a class may have very many, meet their class once."""
+    rooted = by_class.join(comp, F.col("rep") == F.col("node"), "left").select("one", "two", "n", "least", F.coalesce("root", "rep").alias("root"))
+    named = rooted.join(rooted.groupBy("root").agg(F.min("least").alias("component_id")), "root").select("one", "two", "n", "component_id")
+    out = documents.filter("n > 0").join(named, ["one", "two", "n"]).select("doc_id", "n", "component_id")
     out = out.unionByName(documents.filter("n = 0").select("doc_id", "n", F.col("doc_id").alias("component_id")))
     real = [F.when(F.col(c) != NO_ID, F.col(c)).alias(c) for c in ("doc_id", "component_id")]
     return out.select(real[0], F.col("n").alias("n_shingles"), real[1])
