@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import written
+from tickframe.llm.common import trim, written
 
 #: Bytes of text in a chunk; a longer document is a chunk of its own. And documents in a chunk.
 CHUNK = 8 << 20
@@ -36,12 +36,8 @@ def expand(b: bytes, dtype) -> np.ndarray:
     return np.frombuffer(zstandard.ZstdDecompressor().decompress(b), dtype=dtype)
 
 
-def pack(docs: DataFrame, size: int = CHUNK, stored: bool = True, level: int = 1) -> DataFrame:
-    """Chunks of doc_id and text (null: empty), in the shared folder.
-
-    With stored=False they are packed again at every use, which saves the space; chunk ids then hold only if docs is
-    read from files, whose splits do not change between uses.
-    """
+def packer(size: int = CHUNK, level: int = 1):
+    """From batches of id and text to batches of chunks."""
 
     def run(batches):
         part, seq, ids, texts, held = TaskContext.get().partitionId(), 0, [], [], 0
@@ -65,11 +61,31 @@ def pack(docs: DataFrame, size: int = CHUNK, stored: bool = True, level: int = 1
                 held += len(raw)
         if ids:
             yield emit()
+        trim()
+
+    return run
+
+
+def _ids_and_texts(docs: DataFrame) -> DataFrame:
+    return docs.select(F.col("doc_id").cast("long").alias("i"), F.col("text").alias("t"))
 
-    out = docs.select(F.col("doc_id").cast("long").alias("i"), F.col("text").alias("t")).mapInArrow(run, CHUNK_SCHEMA)
+
+def pack(docs: DataFrame, size: int = CHUNK, stored: bool = True, level: int = 1) -> DataFrame:
+    """Chunks of doc_id and text (null: empty), in the shared folder.
+
+    With stored=False they are packed again at every use, which saves the space; chunk ids then hold only if docs is
+    read from files, whose splits do not change between uses.
+    """
+    out = _ids_and_texts(docs).mapInArrow(packer(size, level), CHUNK_SCHEMA)
     return written(out) if stored else out
 
 
+def map_chunks(docs: DataFrame, size: int, run, schema: str) -> DataFrame:
+    """run over the chunks that pack(docs, size) makes, in the Python workers that make them."""
+    make = packer(size)
+    return _ids_and_texts(docs).mapInArrow(lambda batches: run(make(batches)), schema)
+
+
 class Chunk:
     """ids, lens, null, starts and bytes of a chunk."""
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 import tempfile
@@ -54,3 +55,13 @@ def release(spark: SparkSession) -> None:
     """Let Spark's cleaner remove shuffle files of steps that nothing refers to any more."""
     gc.collect()
     spark._jvm.System.gc()
+
+
+def trim() -> None:
+    """Give a Python worker's free memory back: workers are kept between tasks, and executors pay for what they hold."""
+    import pyarrow as pa
+
+    pa.default_memory_pool().release_unused()
+    libc_trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only some C libraries have it
+    if libc_trim:
+        libc_trim(0)

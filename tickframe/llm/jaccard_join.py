@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.chunks import NO_ID, Chunk, expand, mixed, pack, squeeze, word_hashes
-from tickframe.llm.common import drop_written, release, written
+from tickframe.llm.common import drop_written, release, trim, written
 
 SHINGLE = 5
 SEGMENT = 1 << 20
@@ -208,6 +208,7 @@ def _send_signatures(heavy, buckets: int):
                     out["bucket"].append(k)
                     out["chunk_id"].append(chunk_id)
                     out["payload"].append(np.int64(len(at)).tobytes() + (sig[at] & _U(0xFFFFFFFF)).astype(np.uint32).tobytes() + squeeze(steps))
+        trim()
         return pa.table({"bucket": pa.array(out["bucket"], pa.int32()), "chunk_id": pa.array(out["chunk_id"], pa.int64()), "payload": pa.array(out["payload"], pa.binary())})
 
     return run
@@ -248,6 +249,7 @@ def _candidates(table: pa.Table) -> pa.Table:
     p, q = (np.unique(np.concatenate(x), axis=0) if x else np.zeros((0, 2), np.int64) for x in (pairs, stars))
     kind = np.concatenate([np.zeros(len(p), np.int32), np.ones(len(q), np.int32)])
     both = np.concatenate([p, q])
+    trim()
     return pa.table({"kind": kind, "a": both[:, 0], "b": both[:, 1]})
 
 
@@ -266,6 +268,7 @@ def _sets(left: pa.Table, right: pa.Table) -> pa.Table:
             out["n"].append(int(n[i]))
             out["bins"].append(np.minimum(np.bincount(bin_of[mine], minlength=BINS), 255).astype(np.uint8).tobytes())
             out["elements"].append(low[mine].tobytes())
+    trim()
     return pa.table({"gid": pa.array(out["gid"], pa.int64()), "n": pa.array(out["n"], pa.int64()), "bins": pa.array(out["bins"], pa.binary()), "elements": pa.array(out["elements"], pa.binary())})
 
 

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickframe.llm.common import release, written
+from tickframe.llm.common import release, trim, written
 
 ORDER = 4
 BEGIN, END = 2, 3
@@ -289,6 +289,7 @@ def _score_with_arrays(docs: DataFrame, model: DataFrame, keep: list[str]) -> Da
             rules = list(zip(*[base_rules(t) for t in texts])) if texts else [[]] * 6
             cols = [*b.columns[: len(keep)], b.column(len(keep)), *[pa.array(r, pa.int64()) for r in rules[:5]], pa.array(rules[5], pa.bool_()), pa.array(scored(langs, texts), pa.float64())]
             yield pa.RecordBatch.from_arrays(cols, names=[*[f"c{i}" for i in range(len(keep))], "_lang", *RULES, "base_failed", "nll"])
+        trim()
 
     types = docs.select(*keep).schema
     schema = ", ".join([*[f"c{i} {f.dataType.simpleString()}" for i, f in enumerate(types)], "_lang string", *[f"{r} long" for r in RULES], "base_failed boolean", "nll double"])

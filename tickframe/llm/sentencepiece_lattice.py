@@ -28,7 +28,8 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.chunks import Chunk, pack
+from tickframe.llm.chunks import Chunk, map_chunks, pack
+from tickframe.llm.common import trim
 from tickframe.llm.unigram import SPACE, Vocabulary
 
 CHUNK = 12 << 20
@@ -136,13 +137,12 @@ class Words:
 WORDS = "key string, off int, block string, chunk_id long, at int"
 
 
-def words_of(chunks: DataFrame, vocabulary: Vocabulary, model: str | None = None) -> DataFrame:
-    """The distinct words of each chunk and their places in order: the key is the word, off 0 and block null.
+def words_in(before: int, model: str | None = None):
+    """From batches of chunks to batches of WORDS: the distinct words of each chunk and their places in order: the key is the word, off 0 and block null.
 
     A word of more than BLOCK characters has a key of its own in each chunk, and a row for each block: the place where it begins,
-    and its text after that of the longest piece, less one character, before it.
+    and its text after the characters before it, as many as the longest piece has, less one.
     """
-    before = vocabulary.longest - 1
 
     def run(batches):
         look = Lookup(Vocabulary(model))
@@ -162,8 +162,10 @@ def words_of(chunks: DataFrame, vocabulary: Vocabulary, model: str | None = None
                                 rows += [(f"\n{chunk_id}:{place}", k, word[max(0, k - before) : k + BLOCK], place) for k in range(0, n, BLOCK)]
                         key, off, block, at = zip(*rows)
                     yield pa.RecordBatch.from_arrays([pa.array(key, pa.string()), pa.array(off, pa.int32()), pa.array(block, pa.string()), pa.array(np.full(len(key), chunk_id)), pa.array(at, pa.int32())], names=["key", "off", "block", "chunk_id", "at"])
+                del w
+                trim()
 
-    return chunks.mapInArrow(run, WORDS)
+    return run
 
 
 def lattice(words: DataFrame, vocabulary: Vocabulary) -> DataFrame:
@@ -292,6 +294,8 @@ def _assemble(model: str | None, check: bool):
                 doc_id = pa.array(c.ids[i:j], pa.int64(), mask=c.null[i:j] != 0)
                 out.append(pa.table({"doc_id": doc_id, "n_tokens": pa.array(np.diff(offsets), pa.int64()), "ids": lists, "round_trip": pa.array(same, pa.bool_()) if check else pa.nulls(j - i, pa.bool_())}))
                 i = j
+            del c, w, flat, starts, counts
+        trim()
         return pa.concat_tables(out) if out else pa.table({"doc_id": pa.array([], pa.int64()), "n_tokens": pa.array([], pa.int64()), "ids": pa.array([], pa.list_(pa.int32())), "round_trip": pa.array([], pa.bool_())})
 
     return run
@@ -305,7 +309,9 @@ def encode(docs: DataFrame, model: str | None = None, check: bool = True, stored
     vocabulary = Vocabulary(model)
     docs.sparkSession.conf.set("spark.sql.objectHashAggregate.sortBased.fallbackThreshold", str(HASHED))
     chunks = pack(docs, CHUNK, stored, 6)
-    words = words_of(chunks if stored else pack(docs, CHUNK, stored, 1), vocabulary, model).repartition(SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
+    listed = words_in(vocabulary.longest - 1, model)
+    words = chunks.mapInArrow(listed, WORDS) if stored else map_chunks(docs, CHUNK, listed, WORDS)
+    words = words.repartition(SPREAD * int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")), "key")
     # all columns are kept so that both uses of words share one shuffle
     distinct = words.groupBy("key", "off", "block").agg(F.min("chunk_id").alias("any"), F.min("at").alias("any_at"))
     folded = fold_words(distinct, vocabulary).filter("any is not null and any_at is not null").select("key", "bits")
