@@ -14,7 +14,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tickframe.llm.common import trim, written
+from tickframe.llm.common import settle, trim, written
 
 #: Bytes of text in a chunk; a longer document is a chunk of its own. And documents in a chunk.
 CHUNK = 8 << 20
@@ -67,6 +67,7 @@ def packer(size: int = CHUNK, level: int = 1):
 
 
 def _ids_and_texts(docs: DataFrame) -> DataFrame:
+    settle(docs.sparkSession)
     return docs.select(F.col("doc_id").cast("long").alias("i"), F.col("text").alias("t"))
 
 

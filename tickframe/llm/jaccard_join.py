@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.chunks import NO_ID, Chunk, expand, mixed, pack, squeeze, word_hashes
-from tickframe.llm.common import drop_written, release, trim, written
+from tickframe.llm.common import drop_written, release, settle, trim, written
 
 SHINGLE = 5
 SEGMENT = 1 << 20
@@ -558,14 +558,17 @@ def link_report(docs: DataFrame) -> DataFrame:
     return link_documents(docs)
 
 
-def keep_one(docs: DataFrame) -> DataFrame:
+def keep_one(docs: DataFrame, stored: bool = True) -> DataFrame:
     """The rows of docs without those linked, over any number of links, to a document with a smaller id.
 
     Exactly one row of each component stays: the one with the least id, null ids last. Rows with equal ids in one component
     count as copies of one document. Rows without words are linked with nothing; of those, only exact repeats with an id go.
+    stored=False numbers the rows again at every use instead of storing them; docs must then be read from files.
     """
     names = docs.columns
-    rows = written(docs.withColumn("_row", F.monotonically_increasing_id()))
+    settle(docs.sparkSession)
+    rows = docs.withColumn("_row", F.monotonically_increasing_id())
+    rows = written(rows) if stored else rows
     linked = link_documents(rows.select(F.col("_row").alias("doc_id"), "text")).select(F.col("doc_id").alias("_row"), "n_shingles", "component_id")
     ids = rows.select("_row", "doc_id", F.when(F.col("doc_id").isNotNull(), F.sha2(F.coalesce("text", F.lit("")), 256)).alias("_text")).join(linked, "_row")
     first = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "_row"))["_row"].alias("_row")

@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickframe.llm.common import release, trim, written
+from tickframe.llm.common import release, settle, trim, written
 
 ORDER = 4
 BEGIN, END = 2, 3
@@ -155,6 +155,7 @@ def count_grams(docs: DataFrame, lang_col: str = "lang", text_col: str = "text")
             fold(lang)
         yield from out()
 
+    settle(docs.sparkSession)
     parts = docs.select(F.col(lang_col).alias("lang"), F.col(text_col).alias("text")).mapInArrow(run, "lang string, key long, a long")
     return parts.groupBy("lang", "key").agg(F.sum("a").alias("a"))
 
