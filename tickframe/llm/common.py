@@ -67,12 +67,12 @@ def trim() -> None:
         libc_trim(0)
 
 
-#: Rows of documents that go to Python at a time: texts may be long.
-BATCH_ROWS = 1000
+#: What goes to Python at a time: texts may be long, and chunks are.
+BATCH_BYTES = "4m"
 
 
 def settle(spark: SparkSession) -> None:
     """Settings that the operators rely on: small batches to Python, and file splits that stay the same if executors come or go."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     if not spark.conf.get("spark.sql.files.minPartitionNum", None):
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))

@@ -46,7 +46,7 @@ from tickframe.llm.chunks import NO_ID, Chunk, expand, mixed, pack, squeeze, wor
 from tickframe.llm.common import drop_written, release, settle, trim, written
 
 SHINGLE = 5
-SEGMENT = 1 << 20
+SEGMENT = 1 << 19
 #: (whether frequent shingles are set apart, parts of the domain for each difference that linked sets may have)
 LEVELS = [(True, 1.3), (True, 3.0), (True, 8.0), (False, 1.3), (False, 1.3), (False, 3.0), (False, 8.0)]
 HEAVY = 1_000_000
@@ -147,6 +147,8 @@ def _describe(batches):
             if k:
                 zero = np.zeros(k, np.int64)
                 yield _batch(kind=pa.array(np.ones(k, np.int32)), gid=pa.array(value[often].view(np.int64)), doc_id=pa.array(zero), n=pa.array(df[often].astype(np.int64)), one=pa.array(zero), two=pa.array(zero))
+            del c, d, h, n, one, two, value, df, often
+            trim()
 
 
 DESCRIPTION = "kind int, gid long, doc_id long, n long, one long, two long"
