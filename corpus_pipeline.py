@@ -20,7 +20,7 @@ def keep_good(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def keep_one_of_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """N-gram Jaccard join: of each component the document with the smallest id stays."""
-    return jaccard_join.keep_one(docs)
+    return jaccard_join.keep_one(docs, stored=False)  # docs is read from files
 
 
 def redact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
