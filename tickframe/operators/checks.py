@@ -85,3 +85,22 @@ def camera_checks(rows: DataFrame, keys: list[str], order: str, m: list[str]) ->
     cols = [F.col(c) for c in m]
     r = rows.withColumns(rotation_measures(cols)).withColumn("spin", turn_angle(cols, [F.lag(c).over(w) for c in m]))
     return r.groupBy(*keys).agg(F.count("*").alias("rows"), F.count_if(F.col("det") < 0).alias("mirrored"), F.count_if(F.col("ortho") > 1e-4).alias("skewed"), F.count_if(F.col("spin") > 30).alias("spins"))
+
+
+#: A frame is black below this mean luma; a recording is rejected from this share of black frames on.
+BLACK_LUMA, BLACK_SHARE = 5.0, 0.995
+
+
+def dead_black(luma: Column, below: float = BLACK_LUMA, share: float = BLACK_SHARE) -> Column:
+    """Aggregate: whether nearly all frames are black."""
+    return F.avg(F.when(luma < below, 1.0).otherwise(0.0)) >= share
+
+
+def bin_stats(rows: DataFrame, key: str) -> DataFrame:
+    """What a recording's binned frames (keys, buttons: arrays; dx, dy; bleed, dropped) hold: flags, the sets of keys and buttons, bleed frames, dropped events."""
+    moves = (F.coalesce("dx", F.lit(0.0)) != 0) | (F.coalesce("dy", F.lit(0.0)) != 0)
+    sets = {c: F.array_sort(F.array_distinct(F.flatten(F.collect_set(c)))).alias(f"{c}_seen") for c in ("keys", "buttons")}
+    return rows.groupBy(key).agg(
+        F.bool_or(F.size("keys") > 0).alias("has_keyboard"), F.bool_or(moves).alias("has_motion"), F.bool_or(F.size("buttons") > 0).alias("has_buttons"), sets["keys"], sets["buttons"],
+        F.count_if("bleed").alias("bleed_frames"), F.sum("dropped").alias("dropped"),
+    )

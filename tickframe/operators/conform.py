@@ -71,9 +71,8 @@ def convention_problems(v: Column) -> Column:
     return F.when(shape.isNotNull(), F.array(shape)).otherwise(values)
 
 
-def metadata_problems(json: Column) -> Column:
-    """The rules of the metadata object; missing fields hide the others, an unreadable object is one problem."""
-    v = F.try_parse_json(json)
+def metadata_problems(v: Column) -> Column:
+    """The rules of a parsed metadata object; missing fields hide the others, an unreadable object (null) is one problem."""
     text = lambda f: F.try_variant_get(v, f"$.{f}", "string")
     number = lambda f: F.when(_kind(v, f"$.{f}") == "number", F.try_variant_get(v, f"$.{f}", "double"))
     absent = F.filter(F.array(*[F.when(_kind(v, f"$.{f}").isNull(), f) for f in FIELDS]), lambda x: x.isNotNull())
@@ -106,8 +105,14 @@ def metadata_problems(json: Column) -> Column:
     )
 
 
-def valid_convention(json: Column) -> Column:
-    return F.size(convention_problems(F.try_parse_json(json))) == 0
+def valid_convention(v: Column) -> Column:
+    return F.size(convention_problems(v)) == 0
+
+
+def with_metadata_problems(rows: DataFrame, json: str, name: str = "problems") -> DataFrame:
+    """rows with the problems of an object held as text; it is parsed once, before the rules look at it."""
+    parsed = rows.withColumn("_parsed", F.try_parse_json(json))
+    return parsed.withColumn(name, metadata_problems(F.col("_parsed"))).drop("_parsed")
 
 
 def frame_problems(rows: DataFrame, key: str, order: str, meta: DataFrame, camera: list[str]) -> DataFrame:

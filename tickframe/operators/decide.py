@@ -95,3 +95,27 @@ def reject_labels(reasons: Column) -> Column:
 
     labels = F.array_sort(F.array_distinct(F.transform(F.filter(reasons, lambda r: r.blocking & ~r.fixable), lambda r: reason_label(r.code, True))))
     return F.when(reasons.isNull(), F.array(F.lit("unreadable-reasons"))).when(F.size(labels) == 0, F.array(F.lit("fix-failed"))).otherwise(labels)
+
+
+#: Votes, share of named guesses and share of sampled frames from which the video's own game counts.
+TRIPWIRE = (8, 0.9, 0.5)
+
+
+def game_identity(top: Column, votes: Column, named: Column, frames: Column, claimed: Column, expected: Column, games: list[str], gating: bool = False) -> Column:
+    """What a session's game names come to: a reason code, an advisory, or null.
+
+    top: the game most guesses name, with votes of named guesses over frames. A near-unanimous video that contradicts the claim is
+    reported, or gates; otherwise a claim out of scope and a folder that differs from it are reasons, weaker doubts an advisory.
+    """
+    bare = lambda c: F.replace(F.coalesce(c, F.lit("")), F.lit("_"), F.lit(""))
+    t, c = bare(top), bare(claimed)
+    doubt = (t != "") & (c != "") & ~c.contains(t) & ~t.contains(c)
+    sure = doubt & (votes >= TRIPWIRE[0]) & (votes / F.greatest(named, F.lit(1)) >= TRIPWIRE[1]) & (votes / frames >= TRIPWIRE[2])
+    said = F.coalesce(claimed, F.lit("")) != ""
+    on_video = F.when(top.isin(games), "STR_GAME_MISMATCH").otherwise("CNT_WRONG_GAME") if gating else F.lit("advisory: video shows another game")
+    return (
+        F.when(sure, on_video)
+        .when(said & ~claimed.isin(games), "CNT_WRONG_GAME")
+        .when(said & (F.coalesce(expected, F.lit("")) != "") & (expected != claimed), "STR_GAME_MISMATCH")
+        .when(doubt, "advisory: verify the game by hand")
+    )

@@ -101,3 +101,119 @@ def descendants(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     """root, n, deepest: sizes and depths of trees."""
     up = patterns.top_roots(nodes, node, parent, hops=64)
     return up.groupBy("root").agg(F.count("*").alias("n"), F.max("depth").alias("deepest"))
+
+
+# --- listing against ledger ----------------------------------------------------------------------------------------
+
+
+def placements(listed: DataFrame, held: DataFrame) -> DataFrame:
+    """session_id, path, kind of listed sessions (session_id, path, player) against held ones (with state): new, same, heal, moved, collision.
+
+    A held id at another path heals if it was quarantined and its player is unknown or the same; it has moved if its old path is
+    gone from the listing and the player is the same; else two uploads claim one id.
+    """
+    old = held.select("session_id", F.col("path").alias("old_path"), F.col("player").alias("old_player"), F.col("state").alias("old_state"))
+    there = listed.select(F.col("path").alias("old_path"), F.lit(True).alias("still")).distinct()
+    j = listed.join(old, "session_id", "left").join(there, "old_path", "left")
+    same_player = F.col("old_player") == F.col("player")
+    kind = (
+        F.when(F.col("old_state").isNull(), "new").when(F.col("old_path") == F.col("path"), "same")
+        .when((F.col("old_state") == "QUARANTINED") & ((F.col("old_player") == "") | same_player), "heal")
+        .when(F.col("still").isNull() & same_player, "moved").otherwise("collision")
+    )
+    return j.select("session_id", "path", kind.alias("kind"))
+
+
+def healed(held: DataFrame, placed: DataFrame, at: Column) -> tuple[DataFrame, DataFrame]:
+    """held after the heals among placements, and the audit rows that go with them, made from the same rows."""
+    heals = placed.filter("kind = 'heal'").select("session_id", F.col("path").alias("_path"))
+    j = held.join(heals, "session_id", "left")
+    hit = F.col("_path").isNotNull()
+    after = j.withColumns({"path": F.coalesce("_path", "path"), "state": F.when(hit, "DISCOVERED").otherwise(F.col("state")), "reasons": F.when(hit, "[]").otherwise(F.col("reasons"))}).drop("_path")
+    audit = j.filter(hit).select("session_id", F.col("state").alias("from_state"), F.lit("DISCOVERED").alias("to_state"), F.concat(F.lit("healed from "), "path").alias("detail"), at.alias("ts"))
+    return after, audit
+
+
+def superseded(old_md5: Column, new_md5: Column, paid: dict[str, Column]) -> dict[str, Column]:
+    """Payment columns after a new upload in a rejected session's place: kept if the bytes are proven the same or cannot be told, else empty."""
+    unknown = F.coalesce(old_md5, F.lit("")).eqNullSafe("") | F.coalesce(new_md5, F.lit("")).eqNullSafe("")
+    return {name: F.when(unknown | (old_md5 == new_md5), value) for name, value in paid.items()}
+
+
+def went_down(now: DataFrame, before: DataFrame, key: str) -> DataFrame:
+    """Keys whose sessions or hours (by more than 0.01) are fewer than in an earlier report, or whose row is gone."""
+    later = now.select(key, F.col("sessions").alias("_s"), F.col("hours").alias("_h"))
+    j = before.join(later, key, "left")
+    down = (F.coalesce("_s", F.lit(0)) < F.col("sessions")) | (F.coalesce("_h", F.lit(0.0)) < F.col("hours") - 0.01)
+    return j.filter(down).select(key, F.col("sessions").alias("sessions_before"), F.coalesce("_s", F.lit(0)).alias("sessions_now"), F.col("_s").isNull().alias("row_gone"))
+
+
+def game_mismatches(folder: Column, claimed: Column, slug: Column) -> Column:
+    """Which of a session's three game names disagree; names that are empty do not count."""
+    plain = lambda c: F.regexp_replace(F.lower(F.coalesce(c, F.lit(""))), "[^a-z0-9]", "")
+    differ = lambda a, b: (plain(a) != "") & (plain(b) != "") & (plain(a) != plain(b))
+    told = F.array(F.when(differ(folder, claimed), "folder/claimed"), F.when(differ(folder, slug), "folder/slug"), F.when(differ(claimed, slug), "claimed/slug"))
+    return F.filter(told, lambda x: x.isNotNull())
+
+
+# --- reads, order, sheets ------------------------------------------------------------------------------------------
+
+
+def by_state(sessions: DataFrame, *states: str) -> DataFrame:
+    return sessions.filter(F.col("state").isin(*states)).orderBy("created", "session_id")
+
+
+def by_md5(sessions: DataFrame, md5: str) -> DataFrame:
+    return sessions.filter((F.col("md5") == md5) & (F.col("md5") != "")).orderBy("session_id")
+
+
+def removed(rows: DataFrame, gone: DataFrame, key: str) -> DataFrame:
+    return rows.join(gone.select(key).distinct(), key, "left_anti")
+
+
+#: States in the order in which work is taken up.
+DISPATCH = [["FIX_QUEUED"], ["FIXING", "REVALIDATING", "VALIDATING"], ["HOLD_VLM"], ["INGESTED"]]
+
+
+def dispatch_rank(state: Column) -> Column:
+    """0 for what comes first, null for what is not taken up."""
+    rank = F.lit(None).cast("int")
+    for i, states in reversed(list(enumerate(DISPATCH))):
+        rank = F.when(state.isin(states), i).otherwise(rank)
+    return rank
+
+
+def sheet_flags(up: Column, lo: Column, hi: Column, countable: Column, rejected: Column, reported: Column, sealed: Column, uncounted: Column) -> dict[str, Column]:
+    """Why a root is on a sheet: uploaded in the window; late for an earlier one; accepted nodes of its tree still to count; or those of a root that cannot be counted."""
+    in_window = (up >= lo) & (up < hi) & ~reported
+    known = countable | rejected
+    return {
+        "in_window": in_window, "late": ~in_window & (up < lo) & known & ~reported, "accepted_due": (up < hi) & ~sealed & reported & uncounted,
+        "uncountable_due": ~in_window & (up < hi) & ~sealed & ~reported & ~known & uncounted,
+    }
+
+
+def uncounted_trees(nodes: DataFrame, roots: DataFrame) -> DataFrame:
+    """root, uncounted: whether any node of a tree is accepted and not counted yet; nodes (node, accepted, counted), roots (node, root)."""
+    return nodes.join(roots, "node").groupBy("root").agg(F.bool_or(F.col("accepted") & ~F.col("counted")).alias("uncounted"))
+
+
+def operator_totals(rows: DataFrame, by: str, figures: list[str], digits: int = 2) -> DataFrame:
+    """Sums of figures that are rounded already, as the rows show them."""
+    return rows.groupBy(by).agg(*[F.round(F.sum(F.round(F.col(c), digits)), digits).alias(c) for c in figures])
+
+
+def delivered_since(sessions: DataFrame, at: str, now: Column, hours: int = 24) -> DataFrame:
+    return sessions.filter((F.col("state") == "DELIVERED") & (F.col(at) > now - F.expr(f"interval {hours} hours")) & (F.col(at) <= now))
+
+
+def destroyed(records: DataFrame, key: str) -> DataFrame:
+    """What gates blanked, over all records (actions array, key_frames) of a session."""
+    return records.groupBy(key).agg(F.array_sort(F.array_distinct(F.flatten(F.collect_set("actions")))).alias("actions"), F.sum("key_frames").alias("key_frames"))
+
+
+def longest(runs: DataFrame, keys: list[str], start: str, length: str, most: int = 40) -> DataFrame:
+    """The longest runs of each key, ties to the earlier; the rest is a top-k report's to leave out."""
+    w = Window.partitionBy(*keys).orderBy(F.desc(length), start)
+    return runs.withColumn("_place", F.row_number().over(w)).filter(F.col("_place") <= most).drop("_place")
+

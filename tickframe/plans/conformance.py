@@ -126,7 +126,7 @@ SELECT session_id, array_to_string(CASE WHEN p IS NULL THEN ['metadata unreadabl
 
 @query("session_conformance", META_SQL)
 def _(spark, d):
-    return metadata(spark, d).select("session_id", F.array_join(conform.metadata_problems(F.col("js")), ";").alias("problems"))
+    return conform.with_metadata_problems(metadata(spark, d), "js").select("session_id", F.array_join("problems", ";").alias("problems"))
 
 
 FILE_SETS = [["session.json", "frames.csv", "video.mp4", "session.rrd", "rrd_creation.py"], ["frames.csv", "key_binding.json"], [], ["session.json", "frames.csv", "video.mp4"]]

@@ -177,9 +177,10 @@ def _(spark, d):
     return e.withColumn("flagged", checks.tampered(F.col("n"), F.col("large")))
 
 
-@query("dead_black", "SELECT user_id AS session_id, avg(CASE WHEN value < 60 THEN 1.0 ELSE 0.0 END) >= 0.75 AS black FROM events GROUP BY 1")
+@query("dead_black", "WITH l AS (SELECT user_id AS session_id, CASE WHEN user_id % 3 = 0 AND event_id % 300 <> 1 THEN 1.0 ELSE value END AS luma FROM events) SELECT session_id, avg(CASE WHEN luma < 5 THEN 1.0 ELSE 0.0 END) >= 0.995 AS black FROM l GROUP BY 1")
 def _(spark, d):
-    return spark.read.parquet(f"{d}/events.parquet").groupBy(F.col("user_id").alias("session_id")).agg((F.avg(F.when(F.col("value") < 60, 1.0).otherwise(0.0)) >= 0.75).alias("black"))
+    luma = F.when((F.col("user_id") % 3 == 0) & (F.col("event_id") % 300 != 1), 1.0).otherwise(F.col("value"))
+    return spark.read.parquet(f"{d}/events.parquet").groupBy(F.col("user_id").alias("session_id")).agg(checks.dead_black(luma).alias("black"))
 
 
 @query("v1_checks", f"{ts.ROWS}, p AS (SELECT *, row_number() OVER w - 1 AS rn, frame_id * 1000 - lag(frame_id * 1000) OVER w AS dt FROM fx WINDOW w AS (PARTITION BY session_id ORDER BY frame_id)) SELECT session_id, count(*) AS n_rows, bool_and(frame_id = rn) AS contiguous, max(frame_id) * 1000 - min(frame_id) * 1000 AS span, max(frame_id % 7 * 20) AS worst_ms, count(*) FILTER (WHERE dt < 0) AS backward, CASE WHEN NOT bool_and(frame_id = rn) OR max(frame_id % 7 * 20) > 100 THEN 'FAIL' ELSE 'PASS' END AS status FROM p GROUP BY 1")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tickframe.plans import conformance, ledger, repairs  # noqa: F401  (they register their queries)
+from tickframe.plans import conformance, delivery, ledger, repairs  # noqa: F401  (they register their queries)
 from tickframe.plans.timeseries import QUERIES, SQL
 
 

@@ -75,10 +75,16 @@ def sessions_of_listing(files: DataFrame, mail: str = r"^[^@/\s]+@[^@/\s]+\.[^@/
     return out.withColumn("ok", (F.size(at) == 4) & F.coalesce(F.col("operator").rlike(mail) & F.col("player").rlike(mail), F.lit(False)))
 
 
-def payload_kind(files: F.Column) -> F.Column:
-    """v2, v1, raw or garbage, from the names in a folder."""
+def payload_kind(files: F.Column, metadata: F.Column | None = None) -> F.Column:
+    """v2, v1, raw or garbage, from the names in a folder and the text of its session.json (None: taken to be fine, without a canonical part)."""
     has = lambda n: F.array_contains(files, n)
-    return F.when(has("frames.csv") & has("session.json") & ~has("key_binding.json"), "v2").when(has("frames.csv") & has("key_binding.json"), "v1").when(has("inputs.jsonl") & has("metadata.json"), "raw").otherwise("garbage")
+    delivered = has("frames.csv") & has("session.json")
+    raw = has("video.mp4") & has("inputs.jsonl") & has("metadata.json")
+    kind = F.lit("v2")
+    if metadata is not None:
+        read = F.try_parse_json(metadata)
+        kind = F.when(read.isNull(), "garbage").when(F.try_variant_get(read, "$.canonical", "variant").isNotNull(), "v1").otherwise("v2")
+    return F.when(delivered & has("key_binding.json"), "v1").when(delivered, kind).when(raw, "raw").otherwise("garbage")
 
 
 def detected_format(files: F.Column) -> F.Column:
@@ -91,3 +97,35 @@ def paired(left: DataFrame, right: DataFrame, left_name: str, right_name: str) -
     """Files 'X - Inputs (n).jsonl' with 'X - KeyBind.json' by X; inputs without a binding stay."""
     stem = lambda c: F.lower(F.trim(F.regexp_replace(c, r"(?i)\s*-\s*(inputs|keybind).*$", "")))
     return left.withColumn("stem", stem(F.col(left_name))).join(right.withColumn("stem", stem(F.col(right_name))), "stem", "left")
+
+
+#: Patterns of folder names.
+SESSION_ID = r"^\d{4}-\d{2}-\d{2}T\d{2}-\d{2}-\d{2}Z_[a-z0-9_]+_c_[0-9a-f]{16}$"
+DATE_FOLDER = r"^\d{2}-\d{2}-\d{4}$"
+COPY_SUFFIX = r"^(.*) \(\d+\)$"
+
+
+def path_problem(path: F.Column, why: F.Column) -> F.Column:
+    """The class of a quarantined path, by its depth, its folder names and the reason given."""
+    parts = F.split(path, "/")
+    n = F.size(parts)
+    part = lambda i: F.coalesce(F.try_element_at(parts, F.lit(i)), F.lit(""))
+    is_id = lambda c: c.rlike(SESSION_ID)
+    copied = lambda c: F.regexp_extract(c, COPY_SUFFIX, 1).rlike(SESSION_ID)
+    four, five = part(4), part(5)
+    at_five = (
+        F.when(four.rlike(DATE_FOLDER), "date folder between (depth 5)").when(is_id(four) & is_id(five), "session inside a session (depth 5)").when(is_id(four), "folder inside a session (depth 5)")
+        .when(copied(four), "session inside a copied session (depth 5)").when(is_id(five), "folder between player and session (depth 5)").otherwise("other nesting (depth 5)")
+    )
+    at_four = (
+        F.when(why.contains("is not an email"), "player folder is no e-mail (depth 4)").when(~why.contains("doesn't match the id pattern"), "other")
+        .when(copied(four), "copied session (depth 4)").when(four.rlike("_c_[0-9a-f]{16}$"), "mangled session id (depth 4)").otherwise("junk session name (depth 4)")
+    )
+    return F.when(n == 3, "no player folder (depth 3)").when(n == 5, at_five).when(n > 5, F.concat(F.lit("too deep (depth "), n.cast("string"), F.lit(")"))).when(n == 4, at_four).otherwise(F.concat(F.lit("too shallow (depth "), n.cast("string"), F.lit(")")))
+
+
+def found_sessions(files: DataFrame) -> DataFrame:
+    """Folders with a video and a frame table beside it, from file rows (Path, Name)."""
+    folder = F.regexp_replace("Path", "/[^/]+$", "").alias("folder")
+    held = files.select(folder, "Name").filter(F.col("Name").isin("video.mp4", "frames.csv")).groupBy("folder").agg(F.count_distinct("Name").alias("n"))
+    return held.filter("n = 2").select("folder")
