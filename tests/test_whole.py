@@ -1,6 +1,7 @@
 """Queries over the whole of their tables, against brute force."""
 
 import numpy as np
+import pytest
 
 from tickframe.operators import repair
 from tickframe.plans import registry
@@ -32,3 +33,15 @@ def test_clock_offset_aligns_whole_clocks(spark, small):
     assert len(got) == len(n)
     for r in got:
         assert (r.offset, r.prefix) == ((3, n[r.session_id] - 4) if n[r.session_id] >= 54 else (None, None))
+
+
+def test_roots_of_long_chains(spark):
+    from tickframe.operators import ledger, patterns
+
+    rows = [(i, i - 1 if i % 100 else None) for i in range(300)] + [(1000, 5555), (1001, 1000)]
+    nodes = spark.createDataFrame(rows, "n long, p long")
+    got = {r.node: (r.root, r.depth) for r in patterns.top_roots(nodes, "n", "p").collect()}
+    assert got == {i: (i // 100 * 100, i % 100) for i in range(300)} | {1000: (5555, 1), 1001: (5555, 2)}
+    assert {(r.root, r.n, r.deepest) for r in ledger.descendants(nodes, "n", "p").collect()} == {(0, 100, 99), (100, 100, 99), (200, 100, 99), (5555, 2, 2)}
+    with pytest.raises(ValueError):
+        patterns.top_roots(spark.createDataFrame([(1, 2), (2, 1)], "n long, p long"), "n", "p")

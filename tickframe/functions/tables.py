@@ -2,10 +2,11 @@
 
 # --- fixed values -----------------------------------------------------------------------------------------------
 
-OS_KEYS = """cmd cmd_l cmd_r win win_l win_r super super_l super_r lwin rwin menu apps
-media_volume_up media_volume_down media_volume_mute volume_up volume_down volume_mute media_play_pause media_play
-media_pause media_next media_previous media_prev media_stop media_play_pause_button
-print_screen prtsc snapshot sys_req caps_lock num_lock scroll_lock insert pause break""".split()
+OS_KEYS = [
+    "cmd", "cmd_l", "cmd_r", "win", "win_l", "win_r", "super", "super_l", "super_r", "lwin", "rwin", "menu", "apps", "media_volume_up", "media_volume_down", "media_volume_mute",
+    "volume_up", "volume_down", "volume_mute", "media_play_pause", "media_play", "media_pause", "media_next", "media_previous", "media_prev", "media_stop",
+    "media_play_pause_button", "print_screen", "prtsc", "snapshot", "sys_req", "caps_lock", "num_lock", "scroll_lock", "insert", "pause", "break",
+]
 F_KEYS = [f"f{i}" for i in range(1, 25)]
 
 LITERAL_ALIASES = {
@@ -63,8 +64,10 @@ NEEDLES = [
     ("game_title not a string", "STR_SJ_INVALID"), ("timestamp_ms column unparseable", "STR_TS_NONMONO"),
 ]
 NEEDLES_SKIPPED = ["frame-sync drift", "controls-to-video sync", "mouse motion missing", "under 70s"]
-HARD_REASONS = """SYN_UNMEASURABLE_SUSPECT INP_KEYS_MISSING INP_MOTION_MISSING INP_BUTTONS_MISSING CNT_SHORT CNT_ACTIONS_FEW
-CNT_DROPS CNT_NOTIF_MID CNT_BLACK_FROZEN CNT_WRONG_GAME INT_TAMPER INT_DUP_CROSS INT_PATH""".split()
+HARD_REASONS = [
+    "SYN_UNMEASURABLE_SUSPECT", "INP_KEYS_MISSING", "INP_MOTION_MISSING", "INP_BUTTONS_MISSING", "CNT_SHORT", "CNT_ACTIONS_FEW", "CNT_DROPS", "CNT_NOTIF_MID", "CNT_BLACK_FROZEN",
+    "CNT_WRONG_GAME", "INT_TAMPER", "INT_DUP_CROSS", "INT_PATH",
+]
 #: limits, in seconds, milliseconds or shares as named
 MIN_CLIP_S, MIN_ACTIONS, AFK_MIN_S, GATE_PAD, KEEP_GATE_MAX_S = 70.0, 3, 30.0, 2, 5.0
 LAG_TARGET_MS, LAG_HARD_MS, MIN_ACTIVE, MIN_CORRELATION, SMOOTHING = 50.0, 150.0, 0.02, 0.15, 8

@@ -46,10 +46,27 @@ def held_spans(events: DataFrame, keys: list[str], last_frame: str) -> DataFrame
     return press.unionByName(stray)
 
 
+def shown_frames(events: DataFrame, keys: list[str], last_frame: str) -> DataFrame:
+    """keys, frame_id, token; a token shows more than once in a frame where presses end and begin."""
+    spans = held_spans(events, keys, last_frame).filter("f1 >= f0")
+    return spans.select(*keys, "token", F.explode(F.sequence("f0", "f1")).alias("frame_id"))
+
+
 def held_frames(events: DataFrame, keys: list[str], last_frame: str) -> DataFrame:
     """keys, frame_id, token: distinct."""
-    spans = held_spans(events, keys, last_frame).filter("f1 >= f0")
-    return spans.select(*keys, "token", F.explode(F.sequence("f0", "f1")).alias("frame_id")).distinct()
+    return shown_frames(events, keys, last_frame).distinct()
+
+
+def joined_frames(shown: DataFrame, motion: DataFrame, keys: list[str]) -> DataFrame:
+    """keys, frame_id, held (sorted tokens), dx, dy of frames that hold anything or move, by one aggregate over both sides.
+
+    motion: keys, frame_id, dx, dy, one row an event or any partial sums of them.
+    """
+    none = F.lit(None)
+    left = shown.select(*keys, "frame_id", "token", none.cast("bigint").alias("dx"), none.cast("bigint").alias("dy"))
+    right = motion.select(*keys, "frame_id", none.cast("string").alias("token"), F.col("dx").cast("bigint"), F.col("dy").cast("bigint"))
+    zero = lambda c: F.coalesce(F.sum(c), F.lit(0)).alias(c)
+    return left.union(right).groupBy(*keys, "frame_id").agg(F.array_sort(F.collect_set("token")).alias("held"), zero("dx"), zero("dy"))
 
 
 def carry_over_cut(events: DataFrame, keys: list[str], head_us: int, length_us: int) -> DataFrame:

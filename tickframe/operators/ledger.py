@@ -10,10 +10,12 @@ from tickframe.functions import tables as T
 from tickframe.operators import patterns
 
 #: Transitions that the state machine knows. Fixed values.
-MOVES = """DISCOVERED>DOWNLOADING DOWNLOADING>INGESTED DOWNLOADING>DISCOVERED DOWNLOADING>QUARANTINED DOWNLOADING>DUPLICATE DOWNLOADING>REJECTED
-INGESTED>VALIDATING HOLD_VLM>VALIDATING REVALIDATING>VALIDATING VALIDATING>READY VALIDATING>FIX_QUEUED VALIDATING>REJECTED VALIDATING>HOLD_VLM
-VALIDATING>QUARANTINED FIX_QUEUED>FIXING FIX_QUEUED>REJECTED FIXING>REVALIDATING FIXING>SPLIT FIXING>REJECTED FIXING>FIX_QUEUED READY>PACKAGED
-PACKAGED>UPLOADED UPLOADED>DELIVERED READY>FIX_QUEUED READY>REJECTED READY>QUARANTINED DISCOVERED>QUARANTINED REJECTED>DISCOVERED QUARANTINED>DISCOVERED""".split()
+MOVES = [
+    "DISCOVERED>DOWNLOADING", "DOWNLOADING>INGESTED", "DOWNLOADING>DISCOVERED", "DOWNLOADING>QUARANTINED", "DOWNLOADING>DUPLICATE", "DOWNLOADING>REJECTED", "INGESTED>VALIDATING",
+    "HOLD_VLM>VALIDATING", "REVALIDATING>VALIDATING", "VALIDATING>READY", "VALIDATING>FIX_QUEUED", "VALIDATING>REJECTED", "VALIDATING>HOLD_VLM", "VALIDATING>QUARANTINED",
+    "FIX_QUEUED>FIXING", "FIX_QUEUED>REJECTED", "FIXING>REVALIDATING", "FIXING>SPLIT", "FIXING>REJECTED", "FIXING>FIX_QUEUED", "READY>PACKAGED", "PACKAGED>UPLOADED",
+    "UPLOADED>DELIVERED", "READY>FIX_QUEUED", "READY>REJECTED", "READY>QUARANTINED", "DISCOVERED>QUARANTINED", "REJECTED>DISCOVERED", "QUARANTINED>DISCOVERED",
+]
 
 
 def current_state(audit: DataFrame, key: str = "session_id") -> DataFrame:
@@ -99,7 +101,7 @@ def several(rows: DataFrame, by: str, what: str) -> DataFrame:
 
 def descendants(nodes: DataFrame, node: str, parent: str) -> DataFrame:
     """root, n, deepest: sizes and depths of trees."""
-    up = patterns.top_roots(nodes, node, parent, hops=64)
+    up = patterns.top_roots(nodes, node, parent)
     return up.groupBy("root").agg(F.count("*").alias("n"), F.max("depth").alias("deepest"))
 
 

@@ -6,6 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
+from tickframe.sources.shared import cut
+
 
 def runs(df: DataFrame, keys: list[str], order: str, value: str, name: str = "run") -> DataFrame:
     """Numbers the runs of equal neighbouring values within keys."""
@@ -60,14 +62,24 @@ def complement(sessions: DataFrame, cuts: DataFrame, keys: list[str], duration:
     return before.unionByName(last).filter("t1 > t0")
 
 
-def top_roots(nodes: DataFrame, node: str, parent: str, hops: int = 10) -> DataFrame:
-    """node, root, depth: up the parents, at most hops; each hop halves what is left (pointer jumping)."""
-    now = nodes.select(F.col(node).alias("node"), F.coalesce(F.col(parent), F.col(node)).alias("root"), F.when(F.col(parent).isNull(), 0).otherwise(1).alias("depth"))
-    steps = max(1, (hops - 1).bit_length())
-    for _ in range(steps):
-        up = now.select(F.col("node").alias("_n"), F.col("root").alias("_r"), F.col("depth").alias("_d"))
-        now = now.join(up, F.col("root") == F.col("_n"), "left").select("node", F.coalesce("_r", "root").alias("root"), (F.col("depth") + F.coalesce("_d", F.lit(0))).alias("depth"))
-    return now
+def top_roots(nodes: DataFrame, node: str, parent: str) -> DataFrame:
+    """node, root, depth: up the parents, however many; a parent that is no node is a root. Each round doubles what is behind (pointer jumping).
+
+    A round is stored, so plans do not grow; log2 of the greatest depth rounds. A cycle among parents is an error.
+    """
+    first = F.coalesce(F.col(parent), F.col(node)).alias("root")
+    now = cut(nodes.select(F.col(node).alias("node"), first, F.when(F.col(parent).isNull(), 0).otherwise(1).alias("depth"), F.col(parent).isNotNull().alias("open")))
+    reach, count = 1, None
+    while now.filter("open").limit(1).count():
+        if reach > 64:
+            count = now.count() if count is None else count
+            if reach > 2 * count:
+                raise ValueError("a cycle among parents")
+        up = now.select(F.col("node").alias("_n"), F.col("root").alias("_r"), F.col("depth").alias("_d"), F.col("open").alias("_o"))
+        met = now.join(up, F.col("open") & (F.col("root") == F.col("_n")), "left")
+        now = cut(met.select("node", F.coalesce("_r", "root").alias("root"), (F.col("depth") + F.coalesce("_d", F.lit(0))).alias("depth"), F.coalesce("_o", F.lit(False)).alias("open")))
+        reach *= 2
+    return now.drop("open")
 
 
 def latest(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:

@@ -41,24 +41,28 @@ def verdict(active: Column, corr: Column, lag_ms: Column) -> Column:
 
 
 def lag_scan_arrays(tracks: DataFrame, keys: list[str], most: int) -> DataFrame:
-    """As lag_scores and best_lag for (keys, a, m) with tracks as arrays: one Arrow pass, no join."""
+    """As lag_scores and best_lag for (keys, a, m) with tracks as arrays: one Arrow pass and one correlation a track, no join."""
     import numpy as np
-    import pandas as pd
+    import pyarrow as pa
 
     fields = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in tracks.select(*keys).schema)
 
+    def best(a, m):
+        a, m = np.asarray(a or [], float), np.asarray(m or [], float)
+        n, lags = min(len(a), len(m)), np.arange(-most, most + 1)
+        if n == 0:
+            return 0, 0.0
+        shared = n - np.abs(lags)
+        full = np.correlate(a[:n], m[:n], "full")
+        score = np.where(shared > 0, full[np.clip(lags + n - 1, 0, 2 * n - 2)] / np.maximum(shared, 1), 0.0)
+        size = np.round(np.abs(score), 9)
+        k = int(np.argmax(size))
+        return int(lags[k]), float(score[k])
+
     def run(batches):
-        for pdf in batches:
-            rows = []
-            for _, r in pdf.iterrows():
-                a, m = np.asarray(r["a"], float), np.asarray(r["m"], float)
-                best = (None, -1.0)
-                for lag in range(-most, most + 1):
-                    x, y = (a[lag:], m[: len(m) - lag]) if lag >= 0 else (a[: len(a) + lag], m[-lag:])
-                    score = float(np.mean(x * y)) if len(x) else 0.0
-                    if round(abs(score), 9) > round(abs(best[1]), 9) or best[0] is None:
-                        best = (lag, score)
-                rows.append([*[r[k] for k in keys], *best])
-            yield pd.DataFrame(rows, columns=[*keys, "lag", "score"])
-
-    return tracks.select(*keys, "a", "m").mapInPandas(run, f"{fields}, lag int, score double")
+        for b in batches:
+            found = [best(a, m) for a, m in zip(b.column(len(keys)).to_pylist(), b.column(len(keys) + 1).to_pylist())]
+            lag, score = zip(*found) if found else ((), ())
+            yield pa.RecordBatch.from_arrays([*b.columns[: len(keys)], pa.array(lag, pa.int32()), pa.array(score, pa.float64())], names=[*keys, "lag", "score"])
+
+    return tracks.select(*keys, "a", "m").mapInArrow(run, f"{fields}, lag int, score double")

@@ -295,7 +295,7 @@ TREE = f"WITH RECURSIVE {SE}, up AS (SELECT session_id AS node, session_id AS cu
 
 @query("top_root", f"{TREE} SELECT node, root, depth FROM ro")
 def _(spark, d):
-    return patterns.top_roots(sessions(spark, d), "session_id", "parent_id", hops=16)
+    return patterns.top_roots(sessions(spark, d), "session_id", "parent_id")
 
 
 @query("tree_descendants", f"{TREE} SELECT root, count(*) AS n, max(depth) AS deepest FROM ro GROUP BY 1")
@@ -307,7 +307,7 @@ def _(spark, d):
 def _(spark, d):
     s = sessions(spark, d)
     at = lambda x: F.lit(x).cast("timestamp_ntz" if dict(s.dtypes)["created"] == "timestamp_ntz" else "timestamp")
-    return ledger.cohort(s, patterns.top_roots(s, "session_id", "parent_id", hops=16), at("1996-01-01"), at("1998-01-01"))
+    return ledger.cohort(s, patterns.top_roots(s, "session_id", "parent_id"), at("1996-01-01"), at("1998-01-01"))
 
 
 @query("snapshot_pivot", f"WITH {SE}, g AS (SELECT operator, CAST(sum(cents) FILTER (WHERE game = 'kamla') AS BIGINT) AS kamla, CAST(sum(cents) FILTER (WHERE game = 'outer_wilds') AS BIGINT) AS outer_wilds FROM se GROUP BY operator) SELECT CAST(operator AS VARCHAR) AS operator, coalesce(kamla, 0) AS kamla, coalesce(outer_wilds, 0) AS outer_wilds FROM g UNION ALL SELECT 'TOTAL', CAST(sum(kamla) AS BIGINT), CAST(sum(outer_wilds) AS BIGINT) FROM g")

@@ -60,7 +60,7 @@ def _(spark, d):
 @query("paid_matches", f"{TREE}, pd AS (SELECT ro.root, se.session_id, cents + CASE WHEN session_id % 50 = 0 THEN 500 ELSE 60 END AS cents FROM se JOIN ro ON ro.node = se.session_id WHERE session_id % 3 = 0) SELECT root, bool_and(state = 'DELIVERED' AND abs(se.cents - pd.cents) <= 100) AS whole FROM pd JOIN se USING (session_id) GROUP BY 1")
 def _(spark, d):
     s = sessions(spark, d)
-    roots = patterns.top_roots(s, "session_id", "parent_id", hops=16)
+    roots = patterns.top_roots(s, "session_id", "parent_id")
     paid = s.join(roots, F.col("session_id") == F.col("node")).filter("session_id % 3 = 0").select("root", "session_id", (F.col("cents") + F.when(F.col("session_id") % 50 == 0, 500).otherwise(60)).alias("cents"))
     return repair.paid_matches(paid, s)
 

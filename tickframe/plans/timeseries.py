@@ -91,12 +91,11 @@ def held(spark, d) -> DataFrame:
 
 def frame_rows(spark, d) -> DataFrame:
     """session_id, frame_id, held (sorted tokens), dx, dy, context: one row a frame that holds anything or moves."""
-    h = held(spark, d).groupBy("session_id", "frame_id").agg(F.array_sort(F.collect_set("token")).alias("held"))
-    m = events(spark, d).filter("event_type = 'purchase'").withColumn("frame_id", frames.frame_uniform(F.col("t"), FRAME_US))
-    m = m.groupBy("session_id", "frame_id").agg(F.sum(F.col("k") - 50).alias("dx"), F.sum(F.col("k") % 7 - 3).alias("dy"))
-    both = h.join(m, ["session_id", "frame_id"], "full_outer")
+    e = events(spark, d)
+    shown = frames.shown_frames(key_events(spark, d), ["session_id"], "last_frame")
+    m = e.filter("event_type = 'purchase'").select("session_id", frames.frame_uniform(F.col("t"), FRAME_US).alias("frame_id"), (F.col("k") - 50).alias("dx"), (F.col("k") % 7 - 3).alias("dy"))
     ctx = F.element_at(F.array(*[F.lit(c) for c in CONTEXTS]), (F.floor(F.col("frame_id") / 9) % len(CONTEXTS) + 1).cast("int"))
-    return both.select("session_id", "frame_id", F.coalesce("held", F.array().cast("array<string>")).alias("held"), F.coalesce("dx", F.lit(0)).alias("dx"), F.coalesce("dy", F.lit(0)).alias("dy"), ctx.alias("context"))
+    return frames.joined_frames(shown, m, ["session_id"]).withColumn("context", ctx)
 
 
 ROWS = f"""{HELD}, h AS (SELECT session_id, frame_id, list_sort(list(token)) AS held FROM hf GROUP BY ALL),
@@ -454,17 +453,15 @@ def _(spark, d):
     return sync.normalised(f, ["session_id"], "z").withColumn("z", F.round("z", 6))
 
 
-TRACKS = "WITH a AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings WHERE vec_id % 4 = 0), p AS (SELECT vec_id, i, CAST(x AS DOUBLE) AS a, CAST(lag(x, 3, 0.0) OVER (PARTITION BY vec_id ORDER BY i) AS DOUBLE) AS m FROM a)"
-
-
-def tracks(spark, d) -> DataFrame:
-    v = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", F.posexplode("embedding").alias("i", "x"))
-    return v.select("vec_id", "i", F.col("x").cast("double").alias("a"), F.lag(F.col("x").cast("double"), 3, 0.0).over(Window.partitionBy("vec_id").orderBy("i")).alias("m"))
+TRACKS = "WITH a AS (SELECT vec_id, unnest(embedding) AS x, generate_subscripts(embedding, 1) - 1 AS i FROM embeddings), p AS (SELECT vec_id, i, CAST(x AS DOUBLE) AS a, CAST(lag(x, 3, 0.0) OVER (PARTITION BY vec_id ORDER BY i) AS DOUBLE) AS m FROM a)"
 
 
 @query("lag_scan", f"{TRACKS}, s AS (SELECT q.vec_id, l.lag, avg(q.a * r.m) AS score FROM p q CROSS JOIN (SELECT unnest(generate_series(-12, 12)) AS lag) l JOIN p r ON r.vec_id = q.vec_id AND r.i = q.i - l.lag GROUP BY 1, 2), b AS (SELECT *, row_number() OVER (PARTITION BY vec_id ORDER BY round(abs(score), 9) DESC, lag) AS rn FROM s) SELECT vec_id, CAST(lag AS INTEGER) AS lag, round(score, 6) AS score FROM b WHERE rn = 1")
 def _(spark, d):
-    return sync.best_lag(sync.lag_scores(tracks(spark, d), ["vec_id"], 12), ["vec_id"]).select("vec_id", F.col("lag").cast("int"), F.round("score", 6).alias("score"))
+    x = F.col("embedding").cast("array<double>")
+    late = F.concat(F.array_repeat(F.lit(0.0), 3), F.slice(x, F.lit(1), F.greatest(F.size(x) - 3, F.lit(0))))
+    t = spark.read.parquet(f"{d}/embeddings.parquet").select("vec_id", x.alias("a"), late.alias("m"))
+    return sync.lag_scan_arrays(t, ["vec_id"], 12).select("vec_id", "lag", F.round("score", 6).alias("score"))
 
 
 @query("lag_verdict", f"WITH {EV}, s AS (SELECT session_id, avg(CASE WHEN event_type = 'purchase' THEN 1.0 ELSE 0.0 END) AS active, (max(k) - 50) / 300.0 AS corr, (min(k) - 2) * 100.0 AS lag_ms FROM ev GROUP BY 1) SELECT session_id, CASE WHEN active < 0.02 THEN 'SKIP' WHEN abs(corr) < 0.15 THEN 'WARN' WHEN abs(lag_ms) > 150 THEN 'FAIL' ELSE 'PASS' END AS verdict FROM s")
