@@ -20,10 +20,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+#: Bytes of a row group of stored tables: readers hold one at a time.
+ROW_GROUP = 16 << 20
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that all executors share; a temporary one only where the session names none."""
+    """The folder that all executors share; a temporary one only where the session names none and runs on this machine alone."""
     named = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not named:
+        if not re.match(r"local($|\[|\*)", spark.sparkContext.master):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         named = tempfile.mkdtemp(prefix="shared-")
         spark.sparkContext.setCheckpointDir(named)
     return named.rstrip("/")
@@ -33,7 +39,7 @@ def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
-    writer = df.write
+    writer = df.write.option("parquet.block.size", str(ROW_GROUP))
     if partition_by:
         writer = writer.partitionBy(partition_by)
     writer.parquet(path)
@@ -72,7 +78,9 @@ BATCH_BYTES = "4m"
 
 
 def settle(spark: SparkSession) -> None:
-    """Settings that the operators rely on: small batches to Python, and file splits that stay the same if executors come or go."""
+    """Settings that the operators rely on: small batches to Python, column chunks read without direct buffers of their size, and
+    file splits that stay the same if executors come or go."""
+    spark.conf.set("parquet.hadoop.vectored.io.enabled", "false")
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", BATCH_BYTES)
     if not spark.conf.get("spark.sql.files.minPartitionNum", None):
         spark.conf.set("spark.sql.files.minPartitionNum", str(spark.sparkContext.defaultParallelism))

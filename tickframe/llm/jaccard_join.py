@@ -54,9 +54,9 @@ HEAVY = 1_000_000
 HEAVY_IN_CHUNK, HEAVY_IN_ALL = 2, 4
 SMALL = 32
 BINS = 256
-CHUNK = 4 << 20
+CHUNK = 2 << 20
 EDGES_AT_ONCE = 500_000
-BUCKET_SIGNATURES = 3_000_000
+BUCKET_SIGNATURES = 1_000_000
 _U = np.uint64
 _MULT = mixed(np.arange(1, SHINGLE + 2, dtype=_U)) | _U(1)
 _LOWER = np.arange(256, dtype=np.uint8)
