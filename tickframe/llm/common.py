@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import contextlib
 import ctypes
 import gc
 import re
@@ -35,6 +36,19 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
+_SCRATCH: list[list[DataFrame]] = []
+
+
+@contextlib.contextmanager
+def scratch():
+    """Lists the tables that written() stores meanwhile; the caller drops those that its result does not read."""
+    _SCRATCH.append([])
+    try:
+        yield _SCRATCH[-1]
+    finally:
+        _SCRATCH.pop()
+
+
 def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     """Write to the shared folder and read again: cuts lineage, survives lost executors."""
     spark = df.sparkSession
@@ -45,6 +59,8 @@ def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     writer.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_path = path
+    if _SCRATCH:
+        _SCRATCH[-1].append(out)
     return out
 
 

@@ -43,7 +43,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.chunks import NO_ID, Chunk, expand, mixed, pack, squeeze, word_hashes
-from tickframe.llm.common import drop_written, release, settle, trim, written
+from tickframe.llm.common import drop_written, release, scratch, settle, trim, written
 
 SHINGLE = 5
 SEGMENT = 1 << 19
@@ -515,10 +515,21 @@ def components(edges: DataFrame, at_once: int = EDGES_AT_ONCE) -> DataFrame:
 
 
 def link_documents(docs: DataFrame) -> DataFrame:
-    """doc_id, n_shingles, component_id: one row per input row."""
-    spark = docs.sparkSession
-    chunks = pack(docs, CHUNK)
-    described = written(chunks.mapInArrow(_describe, DESCRIPTION))
+    """doc_id, n_shingles, component_id: one row per input row. Tables stored on the way are dropped when nothing reads them any more."""
+    with scratch() as made:
+        chunks = pack(docs, CHUNK)
+        described = written(chunks.mapInArrow(_describe, DESCRIPTION))
+        documents, by_class, comp = _link(docs.sparkSession, chunks, described)
+        comp = written(comp)
+        for t in made:
+            if t is not described and t is not comp:
+                drop_written(t)
+    release(docs.sparkSession)
+    return _named(documents, by_class, comp)
+
+
+def _link(spark, chunks: DataFrame, described: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Documents, classes of equal sets, and (node, root) of the classes that links connect."""
     documents = described.filter("kind = 0").drop("kind")
     frequent = described.filter("kind = 1").groupBy("gid").agg(F.sum("n").alias("df")).filter(F.col("df") >= HEAVY_IN_ALL).orderBy(F.desc("df"), "gid").limit(HEAVY)
     heavy = spark.sparkContext.broadcast(np.sort(frequent.select("gid").toArrow()["gid"].to_numpy().astype(np.int64).view(_U)))
@@ -534,6 +545,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
     centres = found.filter("kind = 1").select("a", "b").distinct()
     wanted = found.select(F.col("a").alias("gid")).union(found.select("b"))
     sets = sets_of(wanted, chunks)
+    drop_written(chunks)
     release(spark)
     links = links_of(pairs, sets)
     if centres.limit(1).count():
@@ -542,8 +554,7 @@ def link_documents(docs: DataFrame) -> DataFrame:
         release(spark)
         links = links.union(_left_over(stars, links, sets))
         release(spark)
-    comp = components(links)
-    return _named(documents, by_class, comp)
+    return documents, by_class, components(links)
 
 
 def _named(documents: DataFrame, by_class: DataFrame, comp: DataFrame) -> DataFrame:

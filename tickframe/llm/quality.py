@@ -31,11 +31,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from tickframe.llm.common import release, settle, trim, written
+from tickframe.llm.common import drop_written, release, scratch, settle, trim, written
 
 ORDER = 4
 BEGIN, END = 2, 3
 AT_ONCE = 2_000_000
+#: Rows of bands, one a language, that are broadcast at most.
+MOST_LANGUAGES = 100_000
 BIN = 0.002
 LOWER, UPPER, SHORT = 9.0, 9.0, 500.0
 SYMBOLS = "#*$%&|<>"
@@ -347,10 +349,17 @@ def bands(scored: DataFrame) -> DataFrame:
 
 def score(docs: DataFrame, keep: list[str], max_broadcast: int = 4_000_000) -> DataFrame:
     """c0, c1, ... (the columns keep), _lang, the base rules, nll, low, high, kept: one row per input row."""
-    model = model_rows(docs)
-    way = _score_with_arrays if model.count() <= max_broadcast else _score_with_joins
-    scored = written(way(docs, model, keep))
-    limits = bands(scored)
+    with scratch() as made:
+        model = model_rows(docs)
+        way = _score_with_arrays if model.count() <= max_broadcast else _score_with_joins
+        scored = written(way(docs, model, keep))
+        limits = written(bands(scored))
+        for t in made:
+            if t is not scored and t is not limits:
+                drop_written(t)
+    release(docs.sparkSession)
+    if limits.count() <= MOST_LANGUAGES:  # else documents meet their language's band in a join
+        limits = F.broadcast(limits)
     out = scored.join(limits, F.col("_lang").eqNullSafe(F.col("_band_lang")), "left").drop("_band_lang")
     wider = F.sqrt(1 + SHORT / (F.col("word_chars") + F.col("n_words") + 1))
     out = out.withColumn("low", F.col("q1") - F.col("below") * wider).withColumn("high", F.col("q3") + F.col("above") * wider)
