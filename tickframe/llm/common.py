@@ -59,8 +59,8 @@ def written(df: DataFrame, partition_by: str | None = None) -> DataFrame:
     writer.parquet(path)
     out = spark.read.schema(df.schema).parquet(path)
     out._written_path = path
-    if _SCRATCH:
-        _SCRATCH[-1].append(out)
+    for made in _SCRATCH:
+        made.append(out)
     return out
 
 
