@@ -15,7 +15,8 @@ A suffix array over every byte would carry WINDOW bytes for each position throug
    anchored suffixes. A bucket expands its runs into suffixes of WINDOW bytes, sorts them locally as a multikey sort
    over machine words (the next word only inside ties), and reads off from neighbours which suffixes are equal to one of
    a document with a smaller id. Range boundaries lie between different leading bytes, so no group of equal
-   suffixes crosses one.
+   suffixes crosses one. There are as many buckets as open runs need, which were counted in step 2, and a bucket expands
+   PIECE suffixes at a time, equal ones together: runs around one anchor, however many, cost their bytes and not their suffixes.
 4. Answers return to their chunk by position in the message, as bits; each chunk then cuts its texts.
 
 A passage that a third of all documents share is sent once per chunk, and after step 2 only one copy of it is open.
@@ -35,18 +36,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tickframe.llm.chunks import Chunk, expand, mixed, pack, powers, prefix_sums, sliding_min, span_hashes, squeeze
-from tickframe.llm.common import drop_written, release, written
+from tickframe.llm.common import drop_written, release, trim, written
 
 WINDOW = 50
 GRAM = 20
 SEGMENT = 1 << 20
 CHUNK = 4 << 20
-#: Runs that a bucket should hold.
-BUCKET_RUNS = 1_500_000
+#: Runs that a bucket of step 2 and one of step 3 should hold, and suffixes that are sorted at a time.
+BUCKET_RUNS, OPEN_RUNS, PIECE = 600_000, 50_000, 1 << 18
 #: Chunks that splitters are sampled from, and samples of each.
 SPLIT_CHUNKS, SPLIT_SAMPLES = 64, 400
 MESSAGE = "bucket int, chunk_id long, payload binary"
 _U = np.uint64
+_MULT = mixed(np.arange(1, -(-WINDOW // 8) + 1, dtype=_U)) | _U(1)
 
 
 class Runs:
@@ -112,6 +114,7 @@ def _announce(buckets: int):
                 c = Chunk(meta, data)
                 r = Runs(c)
                 per, holders, _ = r.distinct(c.ids, buckets)
+                rows = ([], [], [])
                 for k, mine in enumerate(per):
                     if len(mine):
                         at = holders[mine]
@@ -122,13 +125,17 @@ def _announce(buckets: int):
                         small = wide.max() < 2**32
                         head = np.array([len(at), base, small], dtype=np.int64).tobytes()
                         body = squeeze(wide.astype(np.uint32) if small else wide)
-                        yield _rows([k], [chunk_id], [head + gram.tobytes() + r.run[at].tobytes() + body])
+                        for col, x in zip(rows, (k, chunk_id, head + gram.tobytes() + r.run[at].tobytes() + body)):
+                            col.append(x)
+                yield _rows(*rows)
+                del c, r, per, holders, rows
+                trim()
 
     return run
 
 
 def _settle(table: pa.Table) -> pa.Table:
-    """Step 2, in a bucket: 0 nothing to do, 1 all strings of the run occur in an earlier document, 2 open."""
+    """Step 2, in a bucket: 0 nothing to do, 1 all strings of the run occur in an earlier document, 2 open; and how many are open."""
     chunks, payloads = table["chunk_id"].to_pylist(), table["payload"].to_pylist()
     grams, runs, ids, sizes = [], [], [], []
     for p in payloads:
@@ -137,7 +144,9 @@ def _settle(table: pa.Table) -> pa.Table:
         runs.append(np.frombuffer(p, _U, n, 24 + 4 * n))
         ids.append(expand(p[24 + 12 * n :], np.uint32 if small else np.int64).astype(np.int64) + base)
         sizes.append(n)
+    del payloads
     gram, run, doc = np.concatenate(grams), np.concatenate(runs), np.concatenate(ids)
+    del grams, runs, ids
     order = np.lexsort((doc, run, gram))
     gram, run, doc = gram[order], run[order], doc[order]
     new_gram = np.append(True, gram[1:] != gram[:-1])
@@ -151,8 +160,15 @@ def _settle(table: pa.Table) -> pa.Table:
     back = np.empty(len(state), np.uint8)
     back[order] = state
     cuts = np.cumsum(sizes)[:-1]
-    out = [squeeze(x) for x in np.split(back, cuts)]
-    return pa.table({"bucket": table["bucket"].cast(pa.int32()), "chunk_id": pa.array(chunks, pa.int64()), "payload": pa.array(out, pa.binary())})
+    parts = np.split(back, cuts)
+    out = [squeeze(x) for x in parts]
+    open_runs = [int(np.count_nonzero(x == 2)) for x in parts]
+    del gram, run, doc, order, in_run, in_gram, later, state
+    trim()
+    return pa.table({"bucket": table["bucket"].cast(pa.int32()), "chunk_id": pa.array(chunks, pa.int64()), "payload": pa.array(out, pa.binary()), "open_runs": pa.array(open_runs, pa.int64())})
+
+
+STATES = f"{MESSAGE}, open_runs long"
 
 
 def _states(r: Runs, ids: np.ndarray, answers: dict, buckets: int) -> np.ndarray:
@@ -203,6 +219,8 @@ def _send_open(splitters: np.ndarray, buckets: int):
                 sizes = np.array([len(p) for p in parts], np.int64).tobytes()
                 for col, x in zip(rows, (int(k), chunk_id, head + sizes + b"".join(parts))):
                     col.append(x)
+            del c, r
+        trim()
         return pa.Table.from_batches([_rows(*rows)])
 
     return run
@@ -247,29 +265,39 @@ def _compare(table: pa.Table) -> pa.Table:
         strings.append(expand(p[40 + a : 40 + a + b], np.uint8).astype(np.int64))
         data.append(expand(p[40 + a + b :], np.uint8))
         sizes.append(int(n))
+    del payloads
     doc, count, text = np.concatenate(ids), np.concatenate(strings), np.concatenate(data)
-    text = np.concatenate([text, np.zeros(8, np.uint8)])
-    size = count + WINDOW - 1
-    begin = np.cumsum(size) - size
+    del ids, strings, data
+    begin = np.cumsum(count + WINDOW - 1) - (count + WINDOW - 1)
     ends = np.cumsum(count)
-    run = np.repeat(np.arange(len(count)), count)
-    nth = np.arange(len(run)) - np.repeat(ends - count, count)
-    at = begin[run] + nth
-    # the word of 8 bytes at each position, most significant byte first
-    word = np.zeros(len(text) - 7, _U)
-    for k in range(8):
-        word = (word << _U(8)) | text[k : k + len(word)].astype(_U)
-    steps = [*range(0, WINDOW - 7, 8)]
-    steps += [WINDOW - 8] if steps[-1] + 8 < WINDOW else []
-    words = np.stack([word[at + s] for s in steps], axis=1)
-    order, new = multikey_order(words, doc[run])
-    lead = np.flatnonzero(new)[np.cumsum(new) - 1]
-    sorted_doc = doc[run][order]
-    hit = np.zeros(len(run), bool)
-    hit[order] = sorted_doc > sorted_doc[lead]
+    windows = np.lib.stride_tricks.sliding_window_view(text, WINDOW)
+    total = int(ends[-1])
+
+    def strings_at(which: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """Run, place in it, and words (8 bytes each, most significant first) of strings by their number."""
+        run = np.searchsorted(ends, which, side="right")
+        nth = which - (ends[run] - count[run])
+        raw = np.zeros((len(which), 8 * len(_MULT)), np.uint8)
+        raw[:, :WINDOW] = windows[begin[run] + nth]
+        return run, nth, raw.view(">u8").astype(_U)
+
+    # equal strings get the same piece
+    pieces = total // PIECE + 1
+    piece = np.zeros(total, np.int32)
+    for at in range(0, total if pieces > 1 else 0, PIECE):
+        words = strings_at(np.arange(at, min(at + PIECE, total)))[2]
+        piece[at : at + PIECE] = ((mixed(words @ _MULT) >> _U(32)) * _U(pieces)) >> _U(32)
     masks = np.zeros(len(count), _U)
-    np.bitwise_or.at(masks, run[hit], _U(1) << nth[hit].astype(_U))
+    for k in range(pieces):
+        run, nth, words = strings_at(np.flatnonzero(piece == k))
+        order, new = multikey_order(words, doc[run])
+        lead = np.flatnonzero(new)[np.cumsum(new) - 1]
+        sorted_doc = doc[run][order]
+        hit = order[sorted_doc > sorted_doc[lead]]
+        np.bitwise_or.at(masks, run[hit], _U(1) << nth[hit].astype(_U))
     out = [squeeze(m) for m in np.split(masks, np.cumsum(sizes)[:-1])]
+    del doc, count, text, windows, piece
+    trim()
     return pa.table({"bucket": table["bucket"].cast(pa.int32()), "chunk_id": pa.array(chunks, pa.int64()), "payload": pa.array(out, pa.binary())})
 
 
@@ -312,6 +340,8 @@ def _cut(splitters: np.ndarray, buckets: int, with_bytes: bool):
                 row = (None if null else i, n, removed, spans, hashlib.sha256(left_over).hexdigest(), left_over if with_bytes else None)
                 for name, x in zip(out, row):
                     out[name].append(x)
+            del c, r, state, bits, edge, gone
+        trim()
         return pa.table(out, schema=RESULT)
 
     return run
@@ -322,7 +352,7 @@ def deduplicate(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
     spark = docs.sparkSession
     chunks = pack(docs, CHUNK)
     total = chunks.agg(F.count("*").alias("n")).first()["n"]
-    # a chunk has about one run for every 16 bytes
+    # a chunk has about one run for every 16 bytes; as few messages as memory allows
     buckets = max(8, min(4096, int(total * CHUNK / 16 / BUCKET_RUNS) + 1))
     word = spark.createDataFrame([], "bucket int") if total == 0 else None
     if word is not None:
@@ -337,15 +367,17 @@ def deduplicate(docs: DataFrame, with_bytes: bool = False) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(_leading(c, pick).tolist(), pa.binary())], names=["w"])
 
     first = chunks.filter(f"chunk_id & 16777215 = 0 and chunk_id >> 24 < {SPLIT_CHUNKS}")  # first chunks of the first partitions
-    sample = sorted(x["w"] for x in first.mapInArrow(leading, "w binary").collect())
-    splitters = np.array([sample[i * len(sample) // buckets] for i in range(1, buckets)] if sample else [], dtype="S16")
     announced = chunks.mapInArrow(_announce(buckets), MESSAGE)
-    states = written(announced.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_settle, MESSAGE))
+    states = written(announced.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_settle, STATES))
     release(spark)
+    open_runs = states.agg(F.sum("open_runs").alias("n")).first()["n"] or 0
+    ranges = max(8, min(4096, open_runs // OPEN_RUNS + 1))
+    sample = sorted(x["w"] for x in first.mapInArrow(leading, "w binary").collect())
+    splitters = np.array([sample[i * len(sample) // ranges] for i in range(1, ranges)] if sample else [], dtype="S16")
     opened = chunks.groupBy("chunk_id").cogroup(states.groupBy("chunk_id")).applyInArrow(_send_open(splitters, buckets), MESSAGE)
-    masks = written(opened.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_compare, MESSAGE))
+    masks = written(opened.repartition(ranges, "bucket").groupBy("bucket").applyInArrow(_compare, MESSAGE))
     release(spark)
-    answers = states.withColumn("kind", F.lit(0)).unionByName(masks.withColumn("kind", F.lit(1)))
+    answers = states.drop("open_runs").withColumn("kind", F.lit(0)).unionByName(masks.withColumn("kind", F.lit(1)))
     out = chunks.groupBy("chunk_id").cogroup(answers.groupBy("chunk_id")).applyInArrow(_cut(splitters, buckets, with_bytes), "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, kept binary")
     return out
 
