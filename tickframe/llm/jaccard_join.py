@@ -9,7 +9,8 @@ sequence is its one shingle; without words the set is empty and linked with noth
 2. Sizes fall into bands, each 5/4 as wide as the one before: linked sets lie in the same or in neighbouring bands.
    Within a pair of bands linked sets differ in at most k = 2 * (largest size) / 9 elements. The feature domain is
    partitioned by hash into m > k parts, so linked sets agree in at least m - k parts, and every non-empty part's
-   content is a signature. If one of the sets fills more than k parts, the pair shares a signature for certain. A set
+   content is a signature. If one of the sets fills more than k parts, the pair shares a signature for certain: of the first
+   k + 1 parts that either set fills at least one agrees, so no set needs more than the first k + 1 that it fills. A set
    that does not is enumerated again under the next partition (LEVELS), and at last every single element becomes a
    signature. So no link is lost.
    The first partitions set frequent shingles apart (those of passages that many documents share, found by counting
@@ -18,7 +19,8 @@ sequence is its one shingle; without words the set is empty and linked with noth
    of frequent shingles, such as members of large groups of copies, come to the levels that use all shingles.
 3. Documents that share a signature are candidates. Groups of up to SMALL give all their pairs. A larger group gives
    the pairs of one member, its centre, with all others: the one that most large groups hold, which is the text that
-   was copied and changed.
+   was copied and changed. A pair with many common signatures is found in many buckets; these send their candidates packed
+   to targets, by a hash of the pair, where each is named once.
 4. Sets of candidates are stored once. A pair whose size or histogram of BINS hashed bins bounds its similarity below the
    limit is dropped; for the others sets meet in joins and are compared in full. Links become components.
 5. Large groups whose centres are alike make a cluster. Its pivot holds the elements that more than half of the members
@@ -57,6 +59,8 @@ BINS = 256
 CHUNK = 2 << 20
 EDGES_AT_ONCE = 500_000
 BUCKET_SIGNATURES = 1_000_000
+#: Buckets for each target of their candidates, and candidates after which a target drops repeats.
+BUCKETS_A_TARGET, UNITE_AT = 4, 1_000_000
 _U = np.uint64
 _MULT = mixed(np.arange(1, SHINGLE + 2, dtype=_U)) | _U(1)
 _LOWER = np.arange(256, dtype=np.uint8)
@@ -184,6 +188,11 @@ def signatures(d: np.ndarray, h: np.ndarray, n: np.ndarray, heavy: np.ndarray) -
                 cut = np.flatnonzero(np.append(True, key[1:] != key[:-1])) if len(key) else np.zeros(0, np.int64)
                 content = np.add.reduceat(mixed(todo_h[order] + _MULT[3]), cut) if len(cut) else np.zeros(0, _U)
                 owner, part = key[cut] >> 32, key[cut] & 0xFFFFFFFF
+            # in an order that all sets share, the first k + 1 filled parts of either set hold one that agrees
+            first = np.flatnonzero(np.append(True, owner[1:] != owner[:-1])) if len(owner) else np.zeros(0, np.int64)
+            rank = np.arange(len(owner)) - np.repeat(first, np.diff(np.append(first, len(owner))))
+            lead = rank <= DIFFER[inst[owner]]
+            owner, part, content = owner[lead], part[lead], content[lead]
             docs.append(owner)
             sigs.append(mixed(content + mixed(inst[owner].astype(_U) * _MULT[4] + part.astype(_U) * _MULT[0] + _U(level))))
             short &= np.bincount(owner, minlength=len(n)) <= DIFFER[inst]
@@ -217,10 +226,11 @@ def _send_signatures(heavy, buckets: int):
 
 
 CANDIDATES = "kind int, a long, b long"
+PACKED = "target int, payload binary"
 
 
-def _candidates(table: pa.Table) -> pa.Table:
-    """Step 3, in a bucket: kind 0: a pair of documents; kind 1: a large group's centre and a member."""
+def _candidates(table: pa.Table) -> tuple[np.ndarray, np.ndarray]:
+    """Step 3, in a bucket: pairs of documents; and large groups' centres with a member each."""
     sigs, gids = [], []
     for chunk_id, p in zip(table["chunk_id"].to_pylist(), table["payload"].to_pylist()):
         n = int(np.frombuffer(p, np.int64, 1)[0])
@@ -248,11 +258,54 @@ def _candidates(table: pa.Table) -> pa.Table:
         center = max(group.tolist(), key=lambda g: (often[g], -g))
         rest = group[group != center]
         stars.append(np.stack([np.full(len(rest), center), rest], axis=1))
-    p, q = (np.unique(np.concatenate(x), axis=0) if x else np.zeros((0, 2), np.int64) for x in (pairs, stars))
-    kind = np.concatenate([np.zeros(len(p), np.int32), np.ones(len(q), np.int32)])
-    both = np.concatenate([p, q])
+    return distinct_pairs(pairs), distinct_pairs(stars)
+
+
+def distinct_pairs(parts: list[np.ndarray]) -> np.ndarray:
+    """The distinct rows (a, b), in order."""
+    p = np.concatenate(parts) if parts else np.zeros((0, 2), np.int64)
+    p = p[np.lexsort((p[:, 1], p[:, 0]))]
+    return p[np.append(True, (p[1:] != p[:-1]).any(axis=1))] if len(p) else p
+
+
+def _send_candidates(targets: int):
+    """Pairs with many common signatures come from many buckets, so a bucket sends them packed, and they are told apart by target."""
+
+    def run(table: pa.Table) -> pa.Table:
+        out = {}
+        for kind, p in enumerate(_candidates(table)):
+            target = ((mixed(mixed(p[:, 0].view(_U)) + p[:, 1].view(_U)) >> _U(32)) * _U(targets) >> _U(32)).astype(np.int64)
+            order = np.argsort(target, kind="stable")
+            p, bounds = p[order], np.searchsorted(target[order], np.arange(targets + 1))
+            for k in np.flatnonzero(np.diff(bounds)).tolist():
+                mine = p[bounds[k] : bounds[k + 1]]
+                packed = squeeze(np.stack([np.diff(mine[:, 0], prepend=0), mine[:, 1] - mine[:, 0]]))
+                out.setdefault(k, []).append(np.array([kind, len(packed)], np.int64).tobytes() + packed)
+        trim()
+        return pa.table({"target": pa.array(list(out), pa.int32()), "payload": pa.array([b"".join(x) for x in out.values()], pa.binary())})
+
+    return run
+
+
+def _unite(table: pa.Table) -> pa.Table:
+    """Each candidate of a target once. kind 0: a pair of documents; kind 1: a large group's centre and a member."""
+    held, count = ([], []), [0, 0]
+    for raw in table["payload"]:
+        raw, at = raw.as_py(), 0
+        while at < len(raw):
+            kind, size = np.frombuffer(raw, np.int64, 2, at).tolist()
+            steps, apart = expand(raw[at + 16 : at + 16 + size], np.int64).reshape(2, -1)
+            a = np.cumsum(steps)
+            held[kind].append(np.stack([a, a + apart], axis=1))
+            count[kind] += len(a)
+            if count[kind] > UNITE_AT:
+                held[kind][:] = [distinct_pairs(held[kind])]
+                count[kind] = 0
+            at += 16 + size
+    both = [distinct_pairs(x) for x in held]
     trim()
-    return pa.table({"kind": kind, "a": both[:, 0], "b": both[:, 1]})
+    kind = np.repeat(np.arange(2, dtype=np.int32), [len(x) for x in both])
+    return pa.table({"kind": kind, "a": np.concatenate([x[:, 0] for x in both]), "b": np.concatenate([x[:, 1] for x in both])})
 
 
 def _sets(left: pa.Table, right: pa.Table) -> pa.Table:
@@ -539,10 +592,13 @@ def _link(spark, chunks: DataFrame, described: DataFrame) -> tuple[DataFrame, Da
     total = documents.agg(F.sum("n").alias("n")).first()["n"] or 0
     buckets = max(8, min(4096, int(total * 0.7 / BUCKET_SIGNATURES) + 1))
     sent = chunks.groupBy("chunk_id").cogroup(reps.groupBy("chunk_id")).applyInArrow(_send_signatures(heavy, buckets), "bucket int, chunk_id long, payload binary")
-    found = written(sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_candidates, CANDIDATES))
+    targets = max(8, buckets // BUCKETS_A_TARGET)
+    packed = sent.repartition(buckets, "bucket").groupBy("bucket").applyInArrow(_send_candidates(targets), PACKED)
+    found = written(packed.repartition(targets, "target").groupBy("target").applyInArrow(_unite, CANDIDATES))
+    heavy.unpersist()
     release(spark)
-    pairs = found.filter("kind = 0").select("a", "b").distinct()
-    centres = found.filter("kind = 1").select("a", "b").distinct()
+    pairs = found.filter("kind = 0").select("a", "b")
+    centres = found.filter("kind = 1").select("a", "b")
     wanted = found.select(F.col("a").alias("gid")).union(found.select("b"))
     sets = sets_of(wanted, chunks)
     drop_written(chunks)
