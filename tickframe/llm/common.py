@@ -74,8 +74,9 @@ def drop_written(df: DataFrame) -> None:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner remove shuffle files of steps that nothing refers to any more."""
+    """Let Spark's cleaner remove shuffle files of steps that nothing refers to any more, and give the driver's free memory back."""
     gc.collect()
+    trim()
     spark._jvm.System.gc()
 
 
